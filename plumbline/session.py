@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Timestamps are read and written as UTC. A join whose partitioning a later window reuses is
 # still split when one key is hot: the extra shuffle is added only where AQE finds the skew.
+# Generated methods stay within what HotSpot compiles, which the 50-column stages would not.
 _RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -21,18 +21,81 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Attributes that come with the customer and with the part, and their types.
+_CUSTOMER_ATTRIBUTES = {
+    "customer_first_name": ("substring_index(c_name, '#', 1)", "string"),
+    "customer_last_name": ("c_name", "string"),
+    "customer_email": ("lower(replace(c_name, '#', '.')) || '@mail.test'", "string"),
+    "customer_segment": ("c_mktsegment", "string"),
+    "customer_city": ("n_name", "string"),
+    "customer_state": ("n_name", "string"),
+    "customer_country": ("r_name", "string"),
+    "customer_street": ("c_custkey || ' Main Street'", "string"),
+    "customer_zipcode": ("10000 + c_custkey % 90000", "decimal(10,0)"),
+    "market": ("r_name", "string"),
+    "order_region": ("n_name", "string"),
+    "order_country": ("n_name", "string"),
+    "order_state": ("n_name", "string"),
+    "order_city": ("n_name", "string"),
+    "latitude": ("n_nationkey", "decimal(10,6)"),
+    "longitude": ("-n_nationkey", "decimal(10,6)"),
+}
+_PRODUCT_ATTRIBUTES = {
+    "order_item_product_price": ("p_retailprice", "decimal(12,2)"),
+    "product_name": ("p_name", "string"),
+    "product_price": ("p_retailprice", "decimal(12,2)"),
+    "product_status": ("p_partkey * 0", "bigint"),
+    "category_id": ("length(p_type) * 100 + ascii(p_type)", "bigint"),
+    "category_name": ("p_type", "string"),
+    "department_id": ("substring_index(p_brand, '#', -1)", "bigint"),
+    "department_name": ("p_brand", "string"),
+}
+
+
+def _attributes(df: DataFrame, key: str, attributes: dict[str, tuple[str, str]]) -> DataFrame:
+    """Key and attributes, computed once per customer or part and not once per line."""
+    return df.select(
+        key, *[F.expr(text).cast(kind).alias(name) for name, (text, kind) in attributes.items()]
+    )
+
+
+def _absent(attributes: dict[str, tuple[str, str]]) -> dict[str, Column]:
+    return {name: F.lit(None).cast(kind) for name, (_, kind) in attributes.items()}
+
+
 def _orders(spark: SparkSession, sf_dir: str, with_customers: bool) -> DataFrame:
     """Orders, with their customer's attributes where asked: joined before the lines are."""
-    orders = table(spark, sf_dir, "orders")
+    priority = F.col("o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderdate",
+        "o_orderstatus",
+        F.when(priority == "1-URGENT", "Same Day")
+        .when(priority == "2-HIGH", "First Class")
+        .when(priority == "3-MEDIUM", "Second Class")
+        .otherwise("Standard Class")
+        .alias("shipping_mode"),
+        F.when(priority == "1-URGENT", 0)
+        .when(priority == "2-HIGH", 1)
+        .when(priority == "3-MEDIUM", 2)
+        .otherwise(4)
+        .cast("bigint")
+        .alias("days_shipping_scheduled"),
+    )
     if not with_customers:
-        return orders
+        return orders.withColumns(_absent(_CUSTOMER_ATTRIBUTES))
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
     )
     customers = table(spark, sf_dir, "customer").join(
         nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return orders.join(
+        _attributes(customers, "c_custkey", _CUSTOMER_ATTRIBUTES),
+        F.col("o_custkey") == F.col("c_custkey"),
+        "left",
+    )
 
 
 def _decimal(value: Column, precision: int, scale: int) -> Column:
@@ -47,95 +110,61 @@ def staging(
         _orders(spark, sf_dir, customers), F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
     if products:
-        parts = table(spark, sf_dir, "part")
+        parts = _attributes(table(spark, sf_dir, "part"), "p_partkey", _PRODUCT_ATTRIBUTES)
         lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-
-    def when_present(expression: str, kind: str) -> Column:
-        """A customer or product attribute, or null where its table was not joined."""
-        joined = products if "p_" in expression else customers
-        return (F.expr(expression) if joined else F.lit(None)).cast(kind)
+    else:
+        lines = lines.withColumns(_absent(_PRODUCT_ATTRIBUTES))
 
     gap = F.datediff("l_shipdate", "o_orderdate")
-    priority = F.col("o_orderpriority")
-    based = lines.withColumns(
+    priced = lines.withColumns(
         {
-            "real_days": F.pmod(gap, F.lit(7)).cast("bigint"),
-            "scheduled_days": F.when(priority == "1-URGENT", 0)
-            .when(priority == "2-HIGH", 1)
-            .when(priority == "3-MEDIUM", 2)
-            .otherwise(4)
-            .cast("bigint"),
-            "price": _decimal(F.col("l_extendedprice"), 12, 2),
+            "days_shipping_real": F.pmod(gap, F.lit(7)).cast("bigint"),
+            "canceled": (F.col("o_orderstatus") == "P") & (F.col("l_returnflag") == "R"),
+            "sales": _decimal(F.col("l_extendedprice"), 12, 2),
             "discount": _decimal(F.col("l_discount"), 8, 4),
             "margin": _decimal(F.col("l_tax"), 8, 4) - F.lit("0.02").cast("decimal(8,4)"),
-            "canceled": (F.col("o_orderstatus") == "P") & (F.col("l_returnflag") == "R"),
         }
     )
-    real, scheduled = F.col("real_days"), F.col("scheduled_days")
-    late = real > scheduled
     kept_share = F.lit(1).cast("decimal(8,4)") - F.col("discount")
-    total = _decimal(F.col("price") * kept_share, 12, 2)
-    profit = _decimal(F.col("price") * kept_share * F.col("margin"), 12, 2)
-    columns = {
+    totaled = priced.withColumns(
+        {
+            "total": _decimal(F.col("sales") * kept_share, 12, 2),
+            "profit": _decimal(F.col("sales") * kept_share * F.col("margin"), 12, 2),
+        }
+    )
+    real, scheduled = F.col("days_shipping_real"), F.col("days_shipping_scheduled")
+    late, canceled = real > scheduled, F.col("canceled")
+    derived = {
         "order_id": F.col("l_orderkey"),
         "order_customer_id": F.col("o_custkey"),
         "order_item_id": F.col("l_linenumber").cast("bigint"),
         "order_date": F.col("o_orderdate").cast("timestamp"),
         "ship_date": F.col("l_shipdate").cast("timestamp"),
-        "days_shipping_real": real,
-        "days_shipping_scheduled": scheduled,
-        "delivery_status": F.when(F.col("canceled"), "Shipping canceled")
+        "delivery_status": F.when(canceled, "Shipping canceled")
         .when(late, "Late delivery")
         .when(real == scheduled, "Shipping on time")
         .otherwise("Advance shipping"),
-        "late_delivery_risk_flag": F.when(late | F.col("canceled"), 1).otherwise(0).cast("bigint"),
-        "shipping_mode": F.when(priority == "1-URGENT", "Same Day")
-        .when(priority == "2-HIGH", "First Class")
-        .when(priority == "3-MEDIUM", "Second Class")
-        .otherwise("Standard Class"),
+        "late_delivery_risk_flag": F.when(late | canceled, 1).otherwise(0).cast("bigint"),
         "transaction_type": F.when(F.col("l_returnflag") == "A", "DEBIT")
         .when(F.col("l_returnflag") == "N", "PAYMENT")
         .otherwise("TRANSFER"),
         "order_status": F.col("o_orderstatus"),
-        "sales": F.col("price"),
-        "order_item_total": total,
-        "order_profit": profit,
-        "benefit_per_order": profit,
-        "order_item_discount": _decimal(F.col("price") * F.col("discount"), 12, 2),
+        "order_item_total": F.col("total"),
+        "order_profit": F.col("profit"),
+        "benefit_per_order": F.col("profit"),
+        "order_item_discount": _decimal(F.col("sales") * F.col("discount"), 12, 2),
         "order_item_discount_rate": F.col("discount"),
-        "order_item_product_price": when_present("p_retailprice", "decimal(12,2)"),
         "order_item_profit_ratio": _decimal(kept_share * F.col("margin"), 8, 4),
         "order_item_quantity": F.col("l_quantity").cast("bigint"),
-        "sales_per_customer": total,
+        "sales_per_customer": F.col("total"),
         "customer_id": F.col("o_custkey"),
-        "customer_first_name": when_present("substring_index(c_name, '#', 1)", "string"),
-        "customer_last_name": when_present("c_name", "string"),
-        "customer_email": when_present("lower(replace(c_name, '#', '.'))||'@mail.test'", "string"),
-        "customer_segment": when_present("c_mktsegment", "string"),
-        "customer_city": when_present("n_name", "string"),
-        "customer_state": when_present("n_name", "string"),
-        "customer_country": when_present("r_name", "string"),
-        "customer_street": when_present("c_custkey||' Main Street'", "string"),
-        "customer_zipcode": when_present("10000 + c_custkey % 90000", "decimal(10,0)"),
         "product_id": F.col("l_partkey"),
-        "product_name": when_present("p_name", "string"),
-        "product_price": when_present("p_retailprice", "decimal(12,2)"),
-        "product_status": when_present("p_partkey * 0", "bigint"),
-        "category_id": when_present("length(p_type) * 100 + ascii(p_type)", "bigint"),
-        "category_name": when_present("p_type", "string"),
-        "department_id": when_present("substring_index(p_brand, '#', -1)", "bigint"),
-        "department_name": when_present("p_brand", "string"),
-        "market": when_present("r_name", "string"),
-        "order_region": when_present("n_name", "string"),
-        "order_country": when_present("n_name", "string"),
-        "order_state": when_present("n_name", "string"),
-        "order_city": when_present("n_name", "string"),
-        "latitude": when_present("n_nationkey", "decimal(10,6)"),
-        "longitude": when_present("-n_nationkey", "decimal(10,6)"),
-        "is_late": late_flag(real, scheduled),
-        "supplier_id": F.col("l_suppkey"),
     }
-    return based.select(*[column.alias(name) for name, column in columns.items()])
+    return totaled.select(
+        *[derived.get(name, F.col(name)).alias(name) for name, _, _ in STAGING_COLUMNS],
+        late_flag(real, scheduled).alias("is_late"),
+        F.col("l_suppkey").alias("supplier_id"),
+    )
 
 
 def fact(
