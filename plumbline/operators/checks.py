@@ -105,11 +105,19 @@ def row_rule(
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Keys of ``child`` that ``parent`` lacks, with their number of rows.
 
-    The child shrinks to one row per key before it is joined.
+    The child shrinks to one row per key before it is joined, and so does the parent. An anti
+    join would not keep to that, as the optimizer moves it below the count.
     """
     keys = child.filter(named(column).isNotNull()).groupBy(named(column).alias("key"))
-    known = parent.select(named(parent_column).alias("key"))
-    return keys.agg(F.count(F.lit(1)).alias("row_count")).join(known, "key", "left_anti")
+    known = (
+        parent.select(named(parent_column).alias("key")).distinct().withColumn("known", F.lit(True))
+    )
+    return (
+        keys.agg(F.count(F.lit(1)).alias("row_count"))
+        .join(known, "key", "left")
+        .filter(F.col("known").isNull())
+        .drop("known")
+    )
 
 
 def repeated_keys(df: DataFrame, column: str) -> DataFrame:

@@ -121,9 +121,14 @@ def order_items(staged: DataFrame, tiebreak: Sequence[Column | str] | None = Non
     key = ("order_id", "order_item_id")
     if tiebreak is None:
         tiebreak = _others(staged, *key, "order_date")
-    kept = first_per_key(staged, key, [F.col("order_date").asc_nulls_first(), *tiebreak])
+    order = [F.col("order_date").asc_nulls_first(), *tiebreak]
+    return item_columns(first_per_key(staged, key, order))
+
+
+def item_columns(unique_items: DataFrame) -> DataFrame:
+    """The order item columns of staging rows that are unique by (order, item) already."""
     late = days_late(F.col("days_shipping_real"), F.col("days_shipping_scheduled"))
-    return kept.withColumn("days_late", late).select(*ORDER_ITEM_COLUMNS)
+    return unique_items.withColumn("days_late", late).select(*ORDER_ITEM_COLUMNS)
 
 
 def fact_shipments(items: DataFrame) -> DataFrame:

@@ -100,9 +100,7 @@ _BY_CATEGORY = f"""
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = star.staging(spark, sf_dir, products=True)
-    newest = [F.col("order_id").desc(), F.col("order_item_id").desc(), "supplier_id"]
-    return marts.dim_products(staged, newest)
+    return star.latest_products(spark, sf_dir).select(*marts.PRODUCT_COLUMNS)
 
 
 @query(

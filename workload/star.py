@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.parsing import named
+from plumbline.operators.latest import first_per_key
 from plumbline.plans import marts
 from plumbline.plans.staging import STAGING_COLUMNS, late_flag
 
@@ -63,6 +64,20 @@ def _absent(attributes: dict[str, tuple[str, str]]) -> dict[str, Column]:
     return {name: F.lit(None).cast(kind) for name, (_, kind) in attributes.items()}
 
 
+def customer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
+    )
+    customers = table(spark, sf_dir, "customer").join(
+        nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    )
+    return _attributes(customers, "c_custkey", _CUSTOMER_ATTRIBUTES)
+
+
+def product_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _attributes(table(spark, sf_dir, "part"), "p_partkey", _PRODUCT_ATTRIBUTES)
+
+
 def _orders(spark: SparkSession, sf_dir: str, with_customers: bool) -> DataFrame:
     """Orders, with their customer's attributes where asked: joined before the lines are."""
     priority = F.col("o_orderpriority")
@@ -85,16 +100,8 @@ def _orders(spark: SparkSession, sf_dir: str, with_customers: bool) -> DataFrame
     )
     if not with_customers:
         return orders.withColumns(_absent(_CUSTOMER_ATTRIBUTES))
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
-    )
-    customers = table(spark, sf_dir, "customer").join(
-        nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
     return orders.join(
-        _attributes(customers, "c_custkey", _CUSTOMER_ATTRIBUTES),
-        F.col("o_custkey") == F.col("c_custkey"),
-        "left",
+        customer_attributes(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "left"
     )
 
 
@@ -103,15 +110,28 @@ def _decimal(value: Column, precision: int, scale: int) -> Column:
 
 
 def staging(
-    spark: SparkSession, sf_dir: str, *, customers: bool = False, products: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    *,
+    customers: bool = False,
+    products: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
-    """The staging columns, and ``supplier_id`` to tell lines apart."""
-    lines = table(spark, sf_dir, "lineitem").join(
+    """The staging columns, and ``supplier_id`` to tell lines apart.
+
+    ``unique`` keeps one line per (order, item). Lines of an order share its date, so the choice
+    can come before the join: each task then sends one line per key, however often it repeats.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    if unique:
+        lines = first_per_key(lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    lines = lines.join(
         _orders(spark, sf_dir, customers), F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
     if products:
-        parts = _attributes(table(spark, sf_dir, "part"), "p_partkey", _PRODUCT_ATTRIBUTES)
-        lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        lines = lines.join(
+            product_attributes(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"), "left"
+        )
     else:
         lines = lines.withColumns(_absent(_PRODUCT_ATTRIBUTES))
 
@@ -170,8 +190,34 @@ def staging(
 def fact(
     spark: SparkSession, sf_dir: str, *, customers: bool = False, products: bool = False
 ) -> DataFrame:
-    staged = staging(spark, sf_dir, customers=customers, products=products)
-    return marts.fact_shipments(marts.order_items(staged, LINE_TIEBREAK))
+    items = staging(spark, sf_dir, customers=customers, products=products, unique=True)
+    return marts.fact_shipments(marts.item_columns(items))
+
+
+def newest(*rest: str) -> list[Column | str]:
+    """Decides between lines of the same date when the newest is wanted."""
+    return [F.col("order_id").desc(), F.col("order_item_id").desc(), *rest]
+
+
+def latest_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's newest line, with the customer's attributes.
+
+    The choice comes first, so that only one row per customer is joined.
+    """
+    lines = marts.latest_rows(
+        staging(spark, sf_dir), "customer_id", newest("product_id", "supplier_id")
+    )
+    return lines.select("customer_id", "order_id", "order_date").join(
+        customer_attributes(spark, sf_dir), F.col("customer_id") == F.col("c_custkey"), "left"
+    )
+
+
+def latest_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each product's newest line, with the product's attributes."""
+    lines = marts.latest_rows(staging(spark, sf_dir), "product_id", newest("supplier_id"))
+    return lines.select("product_id", "order_id", "order_date").join(
+        product_attributes(spark, sf_dir), F.col("product_id") == F.col("p_partkey"), "left"
+    )
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
