@@ -1,0 +1,71 @@
+"""Every registered query against its SQL, and what its plan may not contain."""
+
+import re
+
+import pytest
+
+import __spark_entry__
+from compare import differences, tables_of
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES = __spark_entry__.queries()
+ORACLES = __spark_entry__.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return tables_of(SF_DIR)
+
+
+def test_every_query_has_its_sql():
+    assert set(ORACLES) == set(QUERIES)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_same_rows_as_sql(spark, connection, name):
+    assert differences(QUERIES[name](spark, SF_DIR), connection, ORACLES[name]) is None
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_plan_has_no_cross_join_and_no_python(spark, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert not re.search(r"CartesianProduct|NestedLoop|Python|Arrow|MapElements", plan)
+
+
+def test_entry(spark):
+    assert __spark_entry__.entry(spark).count() == 4
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("check_unique_keys", {"o_custkey", "p_partkey"}),
+        ("row_count_anomaly", {"ts"}),
+        (
+            # The lines' columns decide which duplicate stays; of the orders two are needed.
+            "order_status_counts",
+            {
+                "l_orderkey",
+                "l_partkey",
+                "l_suppkey",
+                "l_linenumber",
+                "l_quantity",
+                "l_extendedprice",
+                "l_discount",
+                "l_tax",
+                "l_returnflag",
+                "l_shipdate",
+                "o_orderkey",
+                "o_orderstatus",
+            },
+        ),
+    ],
+)
+def test_scans_read_only_what_is_needed(spark, name, columns):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert {part.split("#")[0] for scan in scans for part in scan.split(",")} == columns

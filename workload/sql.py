@@ -90,7 +90,10 @@ items AS (
     FROM (
         SELECT *, row_number() OVER (
             PARTITION BY order_id, order_item_id
-            ORDER BY order_date NULLS FIRST, product_id, supplier_id) AS row_num
+            ORDER BY order_date NULLS FIRST, product_id NULLS FIRST, supplier_id NULLS FIRST,
+                ship_date NULLS FIRST, sales NULLS FIRST, order_item_quantity NULLS FIRST,
+                order_item_discount_rate NULLS FIRST, order_profit NULLS FIRST,
+                transaction_type NULLS FIRST) AS row_num
         FROM stg)
     WHERE row_num = 1
 )"""

@@ -14,8 +14,28 @@ from plumbline.operators.latest import first_per_key
 from plumbline.plans import marts
 from plumbline.plans.staging import STAGING_COLUMNS, late_flag
 
-# Decides between lines with the same order, item and date.
-LINE_TIEBREAK = ("product_id", "supplier_id")
+# Decide between lines with the same order, item and date: every column that can differ, so that
+# only equal lines are left. Once as the lines name them and once as staging does.
+_LINE_COLUMNS = (
+    "l_partkey",
+    "l_suppkey",
+    "l_shipdate",
+    "l_extendedprice",
+    "l_quantity",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+)
+LINE_TIEBREAK = (
+    "product_id",
+    "supplier_id",
+    "ship_date",
+    "sales",
+    "order_item_quantity",
+    "order_item_discount_rate",
+    "order_profit",
+    "transaction_type",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,7 +144,7 @@ def staging(
     """
     lines = table(spark, sf_dir, "lineitem")
     if unique:
-        lines = first_per_key(lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+        lines = first_per_key(lines, ["l_orderkey", "l_linenumber"], _LINE_COLUMNS)
     lines = lines.join(
         _orders(spark, sf_dir, customers), F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
