@@ -115,11 +115,12 @@ def _others(staged: DataFrame, *used: str) -> list[str]:
 def order_items(staged: DataFrame, tiebreak: Sequence[Column | str] | None = None) -> DataFrame:
     """One row per (order, item): the earliest ordered.
 
-    ``tiebreak`` decides between rows of the same date. Without one every other column does,
-    so that the result never depends on the order in which the rows arrive.
+    ``tiebreak`` decides between rows of the same date. Without one every other column of the
+    result does, so that it never depends on the order in which the rows arrive.
     """
     key = ("order_id", "order_item_id")
     if tiebreak is None:
+        staged = staged.select(*[name for name in ORDER_ITEM_COLUMNS if name != "days_late"])
         tiebreak = _others(staged, *key, "order_date")
     order = [F.col("order_date").asc_nulls_first(), *tiebreak]
     return item_columns(first_per_key(staged, key, order))
