@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import logging
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import naming
 from plumbline.functions.parsing import instant_or
 from plumbline.functions.scoring import status_severity
+from plumbline.sources import history
+
+logger = logging.getLogger(__name__)
 
 DOCUMENT = T.StructType(
     [
@@ -95,3 +100,16 @@ def flatten(
             F.lit(".sql"),
         ).alias("compiled_sql_path"),
     )
+
+
+def log_run_results(spark: SparkSession, path: str, log_path: str) -> int:
+    """Add all documents below ``path`` to the check history; returns the number of results."""
+    written = Observation()
+    results = flatten(read_documents(spark, path)).observe(
+        written, F.count(F.lit(1)).alias("rows")
+    )
+    history.append(results, log_path, history.CHECK_RESULTS)
+    rows = written.get["rows"]
+    if not rows:
+        logger.warning("no results in %s", path)
+    return rows

@@ -85,7 +85,7 @@ def check_history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     over(
         "check_history",
         select=f"""
-        SELECT run_id, {_RUN_AT}, count(*) FILTER (status = 'pass') * 100.0 / count(*) AS pass_rate,
+        SELECT run_id, {_RUN_AT}, count(*) FILTER (status = 'pass') / count(*) * 100 AS pass_rate,
             count(*) AS total_assertions
         FROM check_history GROUP BY run_id, check_history.run_at
         """,
@@ -102,8 +102,8 @@ def pass_rate_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
         "anomaly_history",
         select=f"""
         SELECT count(*) FILTER (status = 'pass') AS passed_tests, count(*) AS total_tests,
-            count(*) FILTER (status = 'pass') * 100.0 / count(*) AS pass_rate,
-            CASE WHEN count(*) FILTER (status = 'pass') * 100.0 / count(*) >= 95
+            count(*) FILTER (status = 'pass') / count(*) * 100 AS pass_rate,
+            CASE WHEN count(*) FILTER (status = 'pass') / count(*) * 100 >= 95
                 THEN 'HEALTHY' ELSE 'ATTENTION' END AS health,
             (SELECT count(DISTINCT run_id) FROM check_history) AS total_runs,
             (SELECT count(*) FROM anomaly_history WHERE status <> 'pass') AS anomaly_count
