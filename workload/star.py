@@ -163,15 +163,17 @@ def staging(
     lines = table(spark, sf_dir, "lineitem")
     if unique:
         lines = first_per_key(lines, ["l_orderkey", "l_linenumber"], _LINE_COLUMNS)
-    lines = lines.join(
-        _orders(spark, sf_dir, customers), F.col("l_orderkey") == F.col("o_orderkey"), "left"
-    )
+    # Parts come first, while the lines are narrow; the join with the orders, the widest, then
+    # leaves the rows of an order together.
     if products:
         lines = lines.join(
             product_attributes(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"), "left"
         )
     else:
         lines = lines.withColumns(_absent(_PRODUCT_ATTRIBUTES))
+    lines = lines.join(
+        _orders(spark, sf_dir, customers), F.col("l_orderkey") == F.col("o_orderkey"), "left"
+    )
 
     gap = F.datediff("l_shipdate", "o_orderdate")
     priced = lines.withColumns(
