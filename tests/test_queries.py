@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__
 from compare import differences, tables_of
+from workload import registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def connection():
 
 def test_every_query_has_its_sql():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
