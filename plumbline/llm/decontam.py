@@ -167,6 +167,8 @@ def search(tests: TestSuffixes, texts: list[bytes]) -> tuple[np.ndarray, list, l
             w = pair & 0xFFFFFFFF
             items[pair >> 32].update(np.unique(tests.item_of(starts[of[w] : of[w + 1]])).tolist())
     spot = np.flatnonzero(reach)
+    if not len(spot):
+        return np.diff(bounds), hits, matches, items
     end = np.maximum.accumulate(spot + reach[spot])
     fresh = np.concatenate([[True], spot[1:] > end[:-1]])
     firsts, lasts = spot[fresh], end[np.append(np.flatnonzero(fresh)[1:] - 1, len(spot) - 1)]
