@@ -7,6 +7,7 @@ white space, so that equal runs are computed once. Long runs are read in parts o
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.registry import query, table
-from plumbline.llm.text import SPACED, Words, chunks
+from plumbline.llm.text import SPACED, Words, chunks, kept
 from plumbline.session import materialize
 
 # The network is fitted on at most so many documents of each language, and of each on a passage of
@@ -29,7 +30,7 @@ BATCH = 256
 UNKNOWN = "und"
 # Below this mean probability no language is recognized; among four, chance alone gives 0.25.
 MIN_SCORE = 0.3
-# Runs that a task remembers with their sums.
+# Runs that a worker remembers with their sums.
 CACHED_RUNS = 400_000
 
 
@@ -251,9 +252,11 @@ def identify(documents: DataFrame, network: Network | None) -> DataFrame:
     ``text`` are read.
     """
     languages = network.languages if network else []
+    weights = [w.tobytes() for w in network.weights.values()] if network else []
+    digest = hashlib.sha256(b"".join(weights)).hexdigest()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(network) if network else None
+        known = kept(f"runs of {digest}", lambda: _Known(network)) if network else None
         for keys, texts in chunks(batches):
             n = len(texts)
             lettered = np.array([any(map(str.isalpha, t.decode())) for t in texts], dtype=bool)

@@ -18,14 +18,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm.registry import query, table
-from plumbline.llm.text import chunks
+from plumbline.llm.text import chunks, kept
 
 CONTEXT = 2048
 END_ID = 1
 # A task closes its windows after so many tokens; its memory does not grow with its input.
 ROUND_TOKENS = 1 << 22
-# Pieces of text whose ids a task remembers.
-CACHED_PIECES = 400_000
+# Pieces of text whose ids a worker remembers.
+CACHED_PIECES = 1_000_000
 
 Piece = tuple[int, int, int]  # document of the round, first id, number of ids
 
@@ -201,7 +201,8 @@ def pack(
         )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = Encoder(tokenizer), Packer(context)
+        encoder = kept(f"ids of {tokenizer}", lambda: Encoder(tokenizer))
+        packer = Packer(context)
         docs: list[tuple[int, np.ndarray]] = []
         held = 0
         next_id = TaskContext.get().partitionId() << 33

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import sys
+from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,17 @@ PLAIN[0x30:0x3A] = PLAIN[0x61:0x7B] = PLAIN[0x80:] = True
 CHUNK_BYTES = 4 << 20
 
 
+def kept(name: str, make: Callable[[], object]) -> object:
+    """An object that a Python worker keeps from task to task; ``name`` says what it is made of.
+
+    Functions sent by value have globals of their own in each task, so it hangs on a module.
+    """
+    holder = sys.modules.setdefault("_plumbline_kept", ModuleType("_plumbline_kept"))
+    if getattr(holder, "name", None) != name:
+        holder.name, holder.value = name, make()
+    return holder.value
+
+
 def chunks(
     batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES
 ) -> Iterator[tuple[list, list[bytes]]]:
