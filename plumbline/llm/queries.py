@@ -1,10 +1,15 @@
 """All queries of this subpackage: importing the operators registers theirs."""
 
 from plumbline.llm import (  # noqa: F401
+    ann,
     decontam,
     langid,
+    licenses,
     linededup,
+    ngrams,
     packing,
+    passages,
+    pii,
     simhash,
 )
 from plumbline.llm.registry import ORACLES, QUERIES  # noqa: F401
