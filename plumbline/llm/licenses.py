@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.linededup import LOWER, UPPER, lower_ascii
+from plumbline.llm.linededup import LOWER, UPPER
 from plumbline.llm.registry import query, table
 from plumbline.session import materialize
 
@@ -43,7 +43,8 @@ TEMPLATES = {
 # Of a template's words, in tenths.
 CONTAINED = 9
 
-_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What is no word, but for the line break.
+_GAP = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def _words(template: str) -> list[str]:
@@ -58,8 +59,9 @@ VOCABULARY = sorted({word for text in TEMPLATES.values() for word in _words(text
 SHORTEST = min(_needed(len(_words(text))) for text in TEMPLATES.values())
 
 
-def _places(words: Column, spaced: Column, phrase: list[str]) -> Column:
+def _places(plain: Column, phrase: list[str]) -> Column:
     """Where the phrase's words stand one after the other."""
+    words, spaced = F.split(plain, " "), F.concat(F.lit(" "), plain, F.lit(" "))
     last = F.size(words) - len(phrase)
     here = F.filter(
         F.sequence(F.lit(0), last),
@@ -74,27 +76,28 @@ def _places(words: Column, spaced: Column, phrase: list[str]) -> Column:
 def _scanned(documents: DataFrame) -> DataFrame:
     """One row per document: a row number, the phrases, and the template words of each block that
     has enough of them for the shortest overlap."""
-    text = lower_ascii(F.coalesce("text", F.lit("")))
     known = F.array(*[F.lit(word) for word in VOCABULARY])
-    blocks = F.filter(
-        F.transform(F.split("low", "\n"), lambda x: F.array_intersect(known, F.split(x, _GAP))),
-        lambda x: F.size(x) >= SHORTEST,
-    )
-    spaced = F.concat(F.lit(" "), F.col("plain"), F.lit(" "))
-    words = F.split("plain", " ")
-    places = {label: _places(words, spaced, phrase) for label, phrase in PHRASES.items()}
+    # Case beyond A-Z changes no result: such letters are in no phrase or template, and part of
+    # words in either case. Only these two have an ASCII letter for their lower case.
+    text = F.coalesce("text", F.lit(""))
+    for letter in "\u212a\u0130":
+        text = F.replace(text, F.lit(letter), F.lit("\u00e9"))
+    lines = F.transform(F.split(F.regexp_replace(F.lower(text), _GAP, " "), "\n"), F.trim)
     return (
-        documents.select("doc_id", text.alias("low"))
-        .withColumn("plain", F.trim(F.regexp_replace("low", _GAP, " ")))
+        documents.select("doc_id", F.filter(lines, lambda x: x != "").alias("lines"))
+        .withColumn("tokens", F.transform("lines", lambda x: F.split(x, " ")))
+        .withColumn("plain", F.array_join("lines", " "))
         .select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
-            F.when(F.col("plain") == "", F.lit(0))
-            .otherwise(F.octet_length("plain") - F.octet_length(F.replace("plain", F.lit(" "), F.lit(""))) + 1)
-            .cast("bigint")
-            .alias("n_words"),
-            F.array(*places.values()).alias("places"),
-            blocks.alias("blocks"),
+            F.aggregate(
+                "tokens", F.lit(0).cast("bigint"), lambda n, x: n + F.size(x).cast("bigint")
+            ).alias("n_words"),
+            F.array(*[_places(F.col("plain"), phrase) for phrase in PHRASES.values()]).alias("places"),
+            F.filter(
+                F.transform("tokens", lambda x: F.array_intersect(known, x)),
+                lambda x: F.size(x) >= SHORTEST,
+            ).alias("blocks"),
         )
     )
 
