@@ -82,7 +82,7 @@ def _scanned(documents: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     for letter in "\u212a\u0130":
         text = F.replace(text, F.lit(letter), F.lit("\u00e9"))
-    lines = F.transform(F.split(F.regexp_replace(F.lower(text), _GAP, " "), "\n"), F.trim)
+    lines = F.transform(F.split(F.regexp_replace(F.lower(text), _GAP, " "), "\n"), lambda x: F.trim(x))
     return (
         documents.select("doc_id", F.filter(lines, lambda x: x != "").alias("lines"))
         .withColumn("tokens", F.transform("lines", lambda x: F.split(x, " ")))
