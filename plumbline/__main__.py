@@ -18,6 +18,9 @@ def main() -> int:
     parser.add_argument("root", help="where the tables, histories and reports lie")
     parser.add_argument("--contract", help="contract file; the shipment contract by default")
     parser.add_argument("--expected-rows", type=int, default=daily_run.EXPECTED_ROWS)
+    parser.add_argument(
+        "--multiline", action="store_true", help="values may hold line breaks inside quotes"
+    )
     parser.add_argument("--dry-run", action="store_true", help="write nothing")
     arguments = parser.parse_args()
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
@@ -29,6 +32,7 @@ def main() -> int:
         arguments.root,
         contract=Contract.from_file(arguments.contract) if arguments.contract else None,
         expected_rows=arguments.expected_rows,
+        multiline=arguments.multiline,
         dry_run=arguments.dry_run,
     )
 

@@ -95,7 +95,9 @@ def with_rolling_baseline(observations: DataFrame, window_runs: int = WINDOW_RUN
     A window holds one check's history, which is one row per run and not per data row.
     """
     before = (
-        Window.partitionBy("check_name").orderBy("run_at").rowsBetween(-window_runs, -1)
+        Window.partitionBy("check_name")
+        .orderBy(*[c for c in ("run_at", "run_id") if c in observations.columns])
+        .rowsBetween(-window_runs, -1)
     )
     return observations.withColumns(
         {name: agg.over(before) for name, agg in _baseline(F.col("observed_value")).items()}

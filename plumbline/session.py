@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,7 +30,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a folder of its own.
+    Only a local session without the setting gets a folder of its own, which goes when Python ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -36,6 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="plumbline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -49,3 +52,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def write_then_swap(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Put ``df`` in place of the table at ``path``, which stays as it is until the new one is
+    whole; ``df`` may read it."""
+    spark = df.sparkSession
+    new, old = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    try:
+        writer.parquet(new)
+    except Exception:
+        files.delete(hadoop(new), True)
+        raise
+    if files.exists(hadoop(path)) and not files.rename(hadoop(path), hadoop(old)):
+        raise OSError(f"{path} cannot be moved")
+    if not files.rename(hadoop(new), hadoop(path)):
+        files.rename(hadoop(old), hadoop(path))
+        raise OSError(f"{new} cannot be moved to {path}")
+    files.delete(hadoop(old), True)

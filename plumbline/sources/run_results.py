@@ -45,12 +45,14 @@ DOCUMENT = T.StructType(
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """All documents below ``path``, with the folder each one lies in."""
+    """All documents below ``path``, with their file and its folder. A file that cannot be read is
+    an error that names it."""
     return (
         spark.read.schema(DOCUMENT)
-        .option("multiLine", True)
+        .options(multiLine=True, mode="FAILFAST")
         .json(path)
-        .withColumn("folder", F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1))
+        .withColumn("file", F.col("_metadata.file_path"))
+        .withColumn("folder", F.regexp_extract("file", "^(.*)/[^/]*$", 1))
     )
 
 
@@ -64,10 +66,14 @@ def flatten(
     hash at the end of their id, for histories that were kept that way.
     """
     folder = F.col("folder") if "folder" in documents.columns else F.lit(None).cast("string")
+    file = F.col("file") if "file" in documents.columns else F.lit("")
+    # Without an id, what a document says and where it lies tell it from others.
+    told = F.to_json(F.struct("metadata", "results"))
+    own_id = F.concat(F.lit("unnamed-"), F.sha2(F.concat_ws("\n", file, told), 256))
     result = F.col("result")
     unique_id = F.coalesce(result["unique_id"], F.lit(""))
     exploded = documents.select(
-        F.coalesce("metadata.invocation_id", F.lit("unknown")).alias("run_id"),
+        F.coalesce("metadata.invocation_id", own_id).alias("run_id"),
         instant_or(
             F.col("metadata.generated_at"),
             F.current_timestamp() if read_at is None else read_at,

@@ -155,7 +155,7 @@ def alerts_open(spark: SparkSession, sf_dir: str) -> DataFrame:
             'plain_text' AS header_type,
             CASE severity WHEN 'critical' THEN ':red_circle:'
                 WHEN 'warning' THEN ':large_yellow_circle:' ELSE ':white_circle:' END
-                || ' *' || upper(severity) || '* — ' || check_name AS headline
+                || ' ' || check_name || ' is ' || severity AS headline
         FROM ({_ALERTS_SQL})
         """,
     ),

@@ -157,23 +157,21 @@ def staging(
 ) -> DataFrame:
     """The staging columns, and ``supplier_id`` to tell lines apart.
 
-    ``unique`` keeps one line per (order, item). Lines of an order share its date, so the choice
-    can come before the join: each task then sends one line per key, however often it repeats.
+    ``unique`` keeps one line per (order, item). Lines of an order share its date, so the columns
+    of the line decide.
     """
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem").join(
+        _orders(spark, sf_dir, customers), F.col("l_orderkey") == F.col("o_orderkey"), "left"
+    )
     if unique:
+        # The join has left the lines of an order together: no shuffle of their own.
         lines = first_per_key(lines, ["l_orderkey", "l_linenumber"], _LINE_COLUMNS)
-    # Parts come first, while the lines are narrow; the join with the orders, the widest, then
-    # leaves the rows of an order together.
     if products:
         lines = lines.join(
             product_attributes(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"), "left"
         )
     else:
         lines = lines.withColumns(_absent(_PRODUCT_ATTRIBUTES))
-    lines = lines.join(
-        _orders(spark, sf_dir, customers), F.col("l_orderkey") == F.col("o_orderkey"), "left"
-    )
 
     gap = F.datediff("l_shipdate", "o_orderdate")
     priced = lines.withColumns(
