@@ -74,7 +74,7 @@ def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
     reach, order = 1, places[np.argsort(words[places], kind="stable")]
     while reach < depth:
         ahead = np.zeros_like(rank)
-        ahead[: len(rank) - reach] = rank[reach:]
+        ahead[:-reach] = rank[reach:]  # nothing, where no place has one so far ahead
         # A suffix that has ended has nothing ahead.
         key = rank[places] * (int(rank.max(initial=0)) + 1) + ahead[places]
         by_key = np.argsort(key, kind="stable")
