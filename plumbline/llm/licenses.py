@@ -59,9 +59,13 @@ VOCABULARY = sorted({word for text in TEMPLATES.values() for word in _words(text
 SHORTEST = min(_needed(len(_words(text))) for text in TEMPLATES.values())
 
 
-def _places(plain: Column, phrase: list[str]) -> Column:
-    """Where the phrase's words stand one after the other."""
-    words, spaced = F.split(plain, " "), F.concat(F.lit(" "), plain, F.lit(" "))
+def _has(plain: Column, phrase: list[str]) -> Column:
+    return F.contains(F.concat(F.lit(" "), plain, F.lit(" ")), F.lit(f" {' '.join(phrase)} "))
+
+
+def _places(words: Column, plain: Column, phrase: list[str]) -> Column:
+    """Where the phrase's words stand one after the other. ``words`` has to be a stored column: an
+    expression would be worked out anew at every place."""
     last = F.size(words) - len(phrase)
     here = F.filter(
         F.sequence(F.lit(0), last),
@@ -70,7 +74,7 @@ def _places(plain: Column, phrase: list[str]) -> Column:
         ),
     )
     none = F.array().cast("array<int>")
-    return F.when(F.contains(spaced, F.lit(f" {' '.join(phrase)} ")), here).otherwise(none)
+    return F.when(_has(plain, phrase), here).otherwise(none)
 
 
 def _scanned(documents: DataFrame) -> DataFrame:
@@ -87,13 +91,22 @@ def _scanned(documents: DataFrame) -> DataFrame:
         documents.select("doc_id", F.filter(lines, lambda x: x != "").alias("lines"))
         .withColumn("tokens", F.transform("lines", lambda x: F.split(x, " ")))
         .withColumn("plain", F.array_join("lines", " "))
+        .withColumn(
+            "words",
+            F.when(
+                reduce(Column.__or__, [_has(F.col("plain"), x) for x in PHRASES.values()]),
+                F.split("plain", " "),
+            ),
+        )
         .select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id",
             F.aggregate(
                 "tokens", F.lit(0).cast("bigint"), lambda n, x: n + F.size(x).cast("bigint")
             ).alias("n_words"),
-            F.array(*[_places(F.col("plain"), phrase) for phrase in PHRASES.values()]).alias("places"),
+            F.array(
+                *[_places(F.col("words"), F.col("plain"), phrase) for phrase in PHRASES.values()]
+            ).alias("places"),
             F.filter(
                 F.transform("tokens", lambda x: F.array_intersect(known, x)),
                 lambda x: F.size(x) >= SHORTEST,
