@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm.registry import query, table
+from plumbline.llm.sample import least_hashed
 from plumbline.llm.text import chunks
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -319,13 +320,8 @@ def train(documents: DataFrame) -> Field:
     n = F.length("text")
     place = F.pmod(F.xxhash64("doc_id"), F.greatest(n - F.lit(SAMPLE_CHARS), F.lit(0)) + 1) + 1
     passage = F.substring("text", place.cast("int"), F.lit(SAMPLE_CHARS)).alias("passage")
-    rows = (
-        documents.select("doc_id", passage)
-        .filter(F.col("passage").rlike("[0-9@]"))
-        .orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id", "passage")
-        .limit(SAMPLE_DOCUMENTS)
-        .collect()
-    )
+    found = documents.select("doc_id", passage).filter(F.col("passage").rlike("[0-9@]"))
+    rows = least_hashed(found, ["doc_id", "passage"], SAMPLE_DOCUMENTS, seed=9).collect()
     texts = [row["passage"] for row in rows]
     found = [patterns(text) for text in texts]
     return Field().fit(Graph(texts, found))
