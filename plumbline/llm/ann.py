@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.registry import query, table
+from plumbline.llm.sample import least_hashed
 from plumbline.session import materialize
 
 NEAREST = 20
@@ -109,9 +110,7 @@ def nearest(vectors: DataFrame, candidates: int = CANDIDATES, k: int = NEAREST)
     same = Window.partitionBy("embedding").orderBy("vec_id")
     indexed = rows.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1)
 
-    drawn = (
-        rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow()
-    )
+    drawn = least_hashed(rows, ["vec_id"], SAMPLE).select("embedding").toArrow()
     sample = _matrix(drawn.column("embedding").combine_chunks())
     n = int(np.clip(np.sqrt(most["count"] / CELL), 1, MOST_CENTROIDS))
     left, right = centroids(sample[:, :half], n), centroids(sample[:, half:], n)

@@ -8,6 +8,7 @@ import corpus_pipeline
 from compare import differences, tables_of
 from plumbline.llm import ann, components, decontam, linededup, simhash
 from plumbline.llm.registry import ORACLES
+from plumbline.llm.sample import least_hashed
 from plumbline.session import shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -172,6 +173,17 @@ def test_neighbours_against_brute_force(spark):
     assert (few.groupby("query_id")["rank"].apply(sorted).apply(lambda r: r == list(range(1, 21)))).all()
 
 
+def test_samples_are_the_least_hashes(spark, edges, nothing):
+    rows = spark.range(5000).select((F.col("id") % 4000).alias("id"), F.lit("x").alias("__h"))
+    hashes = rows.distinct().select("id", F.xxhash64("id", F.lit(3)).alias("h")).orderBy("h")
+    expected = {r.id for r in hashes.limit(100).collect()}
+    assert sorted(r.id for r in least_hashed(rows, ["id"], 100, seed=3).collect()) == sorted(expected)
+    assert least_hashed(rows, ["id"], 9000).count() == 4000
+    once = least_hashed(edges, ["doc_id", "text"], 50)
+    assert once.columns == edges.columns and once.count() == 12
+    assert least_hashed(nothing, ["doc_id"], 5).count() == 0
+
+
 def test_neighbours_of_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (20, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [0.5, 0.5], 1), (2, [0.4, 0.5], 1)]
