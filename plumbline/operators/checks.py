@@ -1,7 +1,8 @@
 """Data checks: the rows that fail one, and the failure counts of many.
 
 Rules about single rows of a table are all counted in one aggregate. Rules about keys and
-values are counted per distinct key or value first, so a hot key shrinks before the shuffle.
+values are stacked and counted per distinct key or value, from one scan of the table, so a hot key
+shrinks before the shuffle.
 """
 
 from __future__ import annotations
@@ -173,40 +174,82 @@ def row_failure_counts(
     )
 
 
-def _count_as(df: DataFrame, check: Check, count: Column) -> DataFrame:
-    return df.agg(count.alias("failure_count")).select(
-        F.lit(check.name).alias("check_name"), "failure_count"
-    )
+def _stacked(df: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
+    """``check_name`` and ``key`` (text) for every row and check, without nulls: one scan."""
+    pairs = [
+        F.struct(F.lit(name).alias("check_name"), key.cast("string").alias("key"))
+        for name, key in keys.items()
+    ]
+    return df.select(F.inline(F.array(*pairs))).filter("key is not null")
+
+
+def _key_counts(
+    tables: Mapping[str, DataFrame], table: str, checks: Sequence[Check]
+) -> DataFrame:
+    """How often each key of each check occurs; a key that is hot is one row of each task."""
+    keys = {
+        c.name: F.when(c.fails(), named(c.column)) if c.kind == ACCEPTED_VALUES else named(c.column)
+        for c in checks
+    }
+    counted = _stacked(tables[table], keys).groupBy("check_name", "key")
+    return counted.agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _known_keys(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """The keys that each relationship may have, in the form the child has them; a parent is
+    scanned once for all that name it."""
+    parts = []
+    for parent in dict.fromkeys(c.parent_table for c in checks):
+        keys = {
+            c.name: named(c.parent_column).cast(tables[c.table].schema[c.column].dataType)
+            for c in checks
+            if c.parent_table == parent
+        }
+        parts.append(_stacked(tables[parent], keys).distinct())
+    return reduce(DataFrame.unionByName, parts)
 
 
 def failure_counts(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """``check_name`` and ``failure_count`` of every check, in one DataFrame.
 
     A failure is a row, but for unique checks a repeated key and for accepted values a value.
+    Each table is scanned once for its checks on rows, once for those on keys and values, and
+    once as the parent of others. Relationships compare a parent's keys in the type of the child.
     """
-    parts = []
+    parts, counted, related = [], [], []
     for table in dict.fromkeys(c.table for c in checks):
-        on_rows = [c for c in checks if c.table == table and c.counts_rows]
+        own = [c for c in checks if c.table == table]
+        on_rows = [c for c in own if c.counts_rows]
+        on_keys = [c for c in own if not c.counts_rows]
         if on_rows:
             parts.append(row_failure_counts(tables[table], on_rows))
-    for check in checks:
-        if check.kind == UNIQUE:
-            repeated = repeated_keys(tables[check.table], check.column)
-            parts.append(_count_as(repeated, check, F.count(F.lit(1))))
-        elif check.kind == ACCEPTED_VALUES:
-            unaccepted = unaccepted_values(tables[check.table], check)
-            parts.append(_count_as(unaccepted, check, F.count(F.lit(1))))
-        elif check.kind == RELATIONSHIPS:
-            orphans = orphan_keys(
-                tables[check.table],
-                check.column,
-                tables[check.parent_table],
-                check.parent_column,
-            )
-            parts.append(
-                _count_as(orphans, check, F.coalesce(F.sum("row_count"), F.lit(0)))
-            )
-    return reduce(DataFrame.unionByName, parts)
+        if on_keys:
+            counted.append(_key_counts(tables, table, on_keys))
+            related += [c for c in on_keys if c.kind == RELATIONSHIPS]
+    if counted:
+        keys = reduce(DataFrame.unionByName, counted)
+        known = F.lit(False)
+        if related:
+            parents = _known_keys(tables, related).withColumn("known", F.lit(True))
+            keys = keys.join(parents, ["check_name", "key"], "left")
+            known = F.coalesce("known", F.lit(False))
+        name, rows = F.col("check_name"), F.col("row_count")
+        kinds = {
+            kind: name.isin([c.name for c in checks if c.kind == kind])
+            for kind in (UNIQUE, ACCEPTED_VALUES, RELATIONSHIPS)
+        }
+        failures = (
+            F.when(kinds[UNIQUE], (rows > 1).cast("bigint"))
+            .when(kinds[ACCEPTED_VALUES], F.lit(1).cast("bigint"))
+            .when(kinds[RELATIONSHIPS], F.when(known, F.lit(0)).otherwise(rows))
+        )
+        parts.append(keys.select("check_name", failures.alias("failure_count")))
+        # Checks of tables without any key have no row so far.
+        names = pa.array([c.name for c in checks if not c.counts_rows], pa.string())
+        zero = pa.table({"check_name": names, "failure_count": pa.array([0] * len(names), pa.int64())})
+        parts.append(keys.sparkSession.createDataFrame(zero))
+    every = reduce(DataFrame.unionByName, parts)
+    return every.groupBy("check_name").agg(F.sum("failure_count").alias("failure_count"))
 
 
 def catalog_frame(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
