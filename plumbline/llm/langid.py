@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.registry import query, table
+from plumbline.llm.sample import least_hashes
 from plumbline.llm.text import SPACED, Words, chunks, kept
 from plumbline.session import materialize
 
@@ -155,15 +156,28 @@ def _codes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
 
 
 def sample(documents: DataFrame) -> list[tuple[str, str]]:
-    """(language, passage) rows to learn from, bounded by SAMPLE_DOCUMENTS and SAMPLE_CHARS."""
+    """(language, passage) rows to learn from, bounded by SAMPLE_DOCUMENTS and SAMPLE_CHARS.
+
+    A first pass counts the ids of each language, so that about twice as many rows as are taken
+    go to the window, whatever the number of tasks.
+    """
     n = F.length("text")
     place = F.pmod(F.xxhash64("doc_id"), F.greatest(n - F.lit(SAMPLE_CHARS), F.lit(0)) + 1) + 1
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", "passage")
+    known = documents.select("doc_id", "text", "lang").filter(
+        F.col("lang").isNotNull() & F.col("text").isNotNull()
+    )
+    key = F.xxhash64("doc_id", F.lit(3))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct(key).alias("ids")).collect()
+    most = [
+        (F.lit(row["lang"]), F.lit(least_hashes(row["ids"], SAMPLE_DOCUMENTS))) for row in counts
+    ]
+    if most:
+        limits = F.create_map(*[column for pair in most for column in pair])
+        known = known.filter(key <= F.try_element_at(limits, F.col("lang")))
+    order = Window.partitionBy("lang").orderBy(key, "doc_id", "passage")
     return [
         (row["lang"], row["passage"])
-        for row in documents.select("doc_id", "text", "lang")
-        .filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-        .select(
+        for row in known.select(
             "doc_id",
             "lang",
             F.substring("text", place.cast("int"), F.lit(SAMPLE_CHARS)).alias("passage"),
