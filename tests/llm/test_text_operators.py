@@ -298,3 +298,21 @@ def test_every_shared_run_of_fifty_words_is_found(spark, documents, texts, edges
         same = passages.common_words(words[r.doc_id][r.start : r.end], words[r.other_id][r.other_start : r.other_end])
         assert r.identity == pytest.approx(same / max(r.end - r.start, r.other_end - r.other_start))
     assert passages.shared_passages(edges).isEmpty() and passages.shared_passages(nothing).isEmpty()
+
+
+def made_up(n, start):
+    return [f"w{k}" for k in range(start, start + n)]
+
+
+def test_parts_of_a_passage_held_by_others_do_not_hide_its_link(spark):
+    """Links of each two documents with fifty words in a row in common, by way of others or not."""
+    rows, fresh = [], 0
+    for case in range(12):
+        shared = made_up(60, 10_000 * case)
+        for k, part in enumerate((shared, shared, shared[:30], shared[30:], shared[15:45])):
+            own = [made_up(25, 1_000_000 + fresh + 25 * side) for side in (0, 1)]
+            rows.append((10 * case + k, " ".join([*own[0], *part, *own[1]])))
+            fresh += 50
+    found = passages.shared_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    links = {frozenset((r.doc_id, r.other_id)) for r in found.collect()}
+    assert links == {frozenset((10 * case, 10 * case + 1)) for case in range(12)}
