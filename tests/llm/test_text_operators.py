@@ -316,3 +316,24 @@ def test_parts_of_a_passage_held_by_others_do_not_hide_its_link(spark):
     found = passages.shared_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
     links = {frozenset((r.doc_id, r.other_id)) for r in found.collect()}
     assert links == {frozenset((10 * case, 10 * case + 1)) for case in range(12)}
+
+
+def test_edits_near_the_ends_of_short_passages(spark):
+    """Passages of 50 to 80 words, each with every ninth word or one near each end changed."""
+    rows, wanted = [], set()
+    for case, n in enumerate(range(50, 81, 2)):
+        for kind, edits in enumerate(([6, n - 6], [2, n - 3], list(range(4, n, 9)))):
+            number = 10 * case + 2 * kind
+            passage = made_up(n, 1000 * number)
+            edited = [f"edit{number}x{k}" if k in edits else w for k, w in enumerate(passage)]
+            for doc_id, part in ((number, passage), (number + 1, edited)):
+                own = [made_up(25, 10**6 + 100 * doc_id + 50 * side) for side in (0, 1)]
+                rows.append((doc_id, " ".join([*own[0], *part, *own[1]])))
+            # Where an edit lies in each run of nine words, no seed may be left in common.
+            whole = passages.seeds([rows[-2][1].encode()])[2], passages.seeds([rows[-1][1].encode()])[2]
+            if len(np.intersect1d(*whole)):
+                wanted.add(frozenset((number, number + 1)))
+    found = passages.shared_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(wanted) > 40
+    assert {frozenset((r.doc_id, r.other_id)) for r in found} == wanted
+    assert len({(r.doc_id, r.start, r.other_id, r.other_start) for r in found}) == len(found)
