@@ -26,9 +26,12 @@ SAMPLE = 20_000
 # Vectors in a cell on average, as long as there are no more centroids than MOST_CENTROIDS.
 CELL = 12
 MOST_CENTROIDS = 256
-# Vectors that a query looks at. Measured recall: see the README.
+# Vectors that a query looks at: this share of all that are indexed, and not fewer than CANDIDATES.
+# Measured recall: see the README.
+SHARE = 0.5
 CANDIDATES = 22_000
-# Cells of one first centroid are a unit; a unit of more vectors than this is split.
+# Cells of one first centroid are a unit; a unit of more vectors than this, and than most units
+# have, is split.
 UNIT = 2_000
 
 
@@ -88,9 +91,23 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.array(column.flatten()).reshape(len(column), -1)
 
 
-def nearest(vectors: DataFrame, candidates: int = CANDIDATES, k: int = NEAREST) -> DataFrame:
+def best_of(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, columns) of the ``k`` largest finite scores of each row; ties go to the least own."""
+    k = min(k, scores.shape[1])
+    least = np.partition(scores, -k, axis=1)[:, -k] if k else np.empty(0)
+    rows, columns = np.nonzero((scores >= least[:, None]) & (scores > -np.inf)) if k else ([], [])
+    rows, columns = np.array(rows, dtype=np.int64), np.array(columns, dtype=np.int64)
+    order = np.lexsort((own[columns], -scores[rows, columns], rows))
+    rows, columns = rows[order], columns[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    return rows[place < k], columns[place < k]
+
+
+def nearest(vectors: DataFrame, candidates: int | None = None, k: int = NEAREST) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for each vec_id divisible by 20.
 
+    A query looks at ``candidates`` vectors; if none are given, at SHARE of those that are indexed
+    and CANDIDATES at least, so that recall does not fall with their number.
     Nearest is the largest inner product; ties go to the smaller vec_id; a vector is no candidate
     of its own query. Vectors that are null, zero, or hold a null or non-finite component take no
     part; nor do rows without a vec_id and vectors of another length than most. Of rows with one
@@ -134,7 +151,10 @@ def nearest(vectors: DataFrame, candidates: int = CANDIDATES, k: int = NEAREST)
     sizes = np.zeros(n * n, dtype=np.int64)
     for row in entries.groupBy("cell").count().collect():  # at most MOST_CENTROIDS ** 2
         sizes[row["cell"]] = row["count"]
-    parts = np.maximum(1, -(-sizes.reshape(n, n).sum(axis=1) // UNIT))
+    if candidates is None:
+        candidates = max(CANDIDATES, int(np.ceil(SHARE * sizes.sum())))
+    most_held = max(UNIT, int(sizes.sum()) // n)
+    parts = np.maximum(1, -(-sizes.reshape(n, n).sum(axis=1) // most_held))
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each unit that a query has to see, the second centroids of its cells there."""
@@ -209,14 +229,12 @@ def nearest(vectors: DataFrame, candidates: int = CANDIDATES, k: int = NEAREST)
                     # einsum adds up every pair alike, so that equal vectors tie exactly.
                     scores = np.einsum("qd,vd->qv", x[c:d], unit[1][some])
                     scores[~sees[:, unit[2][some]] | (keys[c:d, None] == own)] = -np.inf
-                    order = np.lexsort((np.broadcast_to(own, scores.shape), -scores))[:, :k]
-                    best = np.take_along_axis(scores, order, axis=1)
-                    ok = best > -np.inf
+                    at, best = best_of(scores, own, k)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.repeat(keys[c:d], ok.sum(axis=1)), pa.int64()),
-                            pa.array(own[order][ok], pa.int64()),
-                            pa.array(best[ok], pa.float64()),
+                            pa.array(keys[c:d][at], pa.int64()),
+                            pa.array(own[best], pa.int64()),
+                            pa.array(scores[at, best], pa.float64()),
                         ],
                         names=["query_id", "vec_id", "score"],
                     )

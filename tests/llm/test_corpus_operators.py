@@ -1,6 +1,7 @@
 """Line dedup, near-dedup, decontamination, neighbours and the pipeline."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +174,19 @@ def test_neighbours_against_brute_force(spark):
     assert (few.groupby("query_id")["rank"].apply(sorted).apply(lambda r: r == list(range(1, 21)))).all()
 
 
+def test_recall_does_not_fall_with_the_number_of_vectors(spark):
+    """100,000 random vectors, of which the ids of 100 are divisible by 20."""
+    rng = np.random.RandomState(4)
+    x = rng.normal(size=(100_000, 64))
+    ids = np.arange(len(x)) * 20 + np.where(np.arange(len(x)) < 100, 0, 1)
+    rows = pa.table({"vec_id": ids, "embedding": list(x)})
+    scores = x[:100] @ x.T
+    scores[np.arange(100), np.arange(100)] = -np.inf
+    exact = [set(ids[np.argsort(-s)[:20]]) for s in scores]
+    found = ann.nearest(spark.createDataFrame(rows)).toPandas().groupby("query_id").vec_id.apply(set)
+    assert np.mean([len(found[q] & e) / 20 for q, e in zip(ids, exact)]) >= 0.9
+
+
 def test_samples_are_the_least_hashes(spark, edges, nothing):
     rows = spark.range(5000).select((F.col("id") % 4000).alias("id"), F.lit("x").alias("__h"))
     hashes = rows.distinct().select("id", F.xxhash64("id", F.lit(3)).alias("h")).orderBy("h")
