@@ -286,14 +286,15 @@ def _collected(items: DataFrame) -> list[tuple[int | None, str]]:
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``documents`` less the rows whose doc_id has a contaminated text; all columns as they are.
-    Rows without a doc_id are kept or left by all rows without one."""
+    """``documents`` less the rows with a contaminated text; all columns as they are. Rows that share
+    a doc_id, or have none, are judged one by one."""
+    row = F.xxhash64("doc_id", "text")
     bad = (
-        contamination(documents, benchmark)
+        contamination(documents.select(row.alias("doc_id"), "text"), benchmark)
         .filter("contaminated")
         .select(F.col("doc_id").alias("_bad"))
     )
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    return documents.join(bad, row == F.col("_bad"), "left_anti")
 
 
 OP4_SQL = f"""

@@ -313,16 +313,17 @@ def held_out():
 
 def recognized(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """``documents`` without those that are ``und`` or score below ``min_score``; all columns as
-    they are. Rows with one doc_id go if one of them is rejected."""
+    they are. Rows that share a doc_id, or have none, are judged one by one."""
     network = train(documents.filter(~held_out()))
+    row = F.xxhash64("doc_id", "text")
     rejected = materialize(
-        identify(documents, network)
+        identify(documents.select(row.alias("doc_id"), "text"), network)
         .filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score))
         .select(F.col("doc_id").alias("_rejected"))
         .distinct(),
         "language-rejects",
     )
-    return documents.join(rejected, F.col("doc_id").eqNullSafe(F.col("_rejected")), "left_anti")
+    return documents.join(rejected, row == F.col("_rejected"), "left_anti")
 
 
 @query("op9_language_id_gru")

@@ -179,16 +179,27 @@ def near_copies(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents`` with the smallest doc_id of their component, all columns as they
-    are. Of rows that share this doc_id one stays: the least by text. Texts without words have one
-    fingerprint and so are copies of each other."""
-    group = near_copies(documents)
-    first = group.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = first.select(F.col("doc_id").alias("_kept")).distinct()
+    """One row of ``documents`` of each component, all columns as they are: that with the smallest
+    doc_id, and of several with this doc_id the one of least hash of id and text. Rows are picked by
+    id and text, so that rows that share an id, or have none, are copies of each other only if
+    their texts are. Texts without words have one fingerprint and so are copies of each other."""
+    row = F.xxhash64("doc_id", "text")
+    rows = documents.select(row.alias("_row"), "doc_id", "text")
+    group = near_copies(rows.select(F.col("_row").alias("doc_id"), "text"))
+    ids = rows.select("_row", "doc_id").distinct()
+    chosen = (
+        group.select(F.col("doc_id").alias("_row"), "component_id")
+        .distinct()
+        .join(ids, "_row")
+        .groupBy("component_id")
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_kept"))
+        .select("_kept")
+    )
     columns = documents.columns
     order = Window.partitionBy("_kept").orderBy(F.col("text").asc_nulls_last())
     return (
-        documents.join(chosen, F.col("doc_id").eqNullSafe(F.col("_kept")))
+        documents.withColumn("_row", row)
+        .join(chosen, F.col("_row") == F.col("_kept"))
         .withColumn("_place", F.row_number().over(order))
         .filter("_place = 1")
         .select(*[F.col(f"`{c}`") for c in columns])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import differences, tables_of
-from plumbline.llm import ann, components, decontam, linededup, simhash
+from plumbline.llm import ann, components, decontam, langid, linededup, simhash
 from plumbline.llm.registry import ORACLES
 from plumbline.llm.sample import least_hashed
 from plumbline.session import shared_folder
@@ -211,6 +211,27 @@ def test_neighbours_of_edges(spark):
     assert ann.nearest(vectors.limit(0)).count() == 0
 
 
+def test_stages_pick_rows_and_not_ids(spark):
+    """Rows that share an id, or lack one, stay or go each by its own text."""
+    import random
+
+    draw = random.Random(3)
+    x, y, z = (" ".join(str(draw.randrange(10**9)) for _ in range(80)) for _ in range(3))
+    rows = [(3, y), (5, x), (5, y), (None, z), (None, x + " " + z), (None, y), (6, z)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted((r.text, r.doc_id or 0) for r in simhash.one_of_each_group(docs).collect())
+    assert kept == sorted([(y, 3), (x, 5), (z, 6), (x + " " + z, 0)])
+    benchmark = spark.createDataFrame([(1, y)], "item_id bigint, text string")
+    left = decontam.without_contaminated(docs, benchmark).collect()
+    assert sorted(r.text for r in left) == sorted([x, z, x + " " + z, z])
+
+    english = "the cat sat on the mat and looked at the moon over the quiet harbour of the town. " * 20
+    mixed = [(k, english, "en") for k in range(1, 40)] + [(None, english, "en"), (None, "123 ---", "en")]
+    mixed = spark.createDataFrame([*mixed, (2, "456 !!!", "en")], "doc_id bigint, text string, lang string")
+    found = langid.recognized(mixed).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in found} == {None: 1, **{k: 1 for k in range(1, 40)}}
+
+
 def test_pipeline_of_edges(spark, edges, as_table):
     benchmark = spark.createDataFrame([(1, "le chat noir est assis sur la chaise près de la fenêtre")], "item_id bigint, text string")
     folder = as_table(edges, benchmark=benchmark)
