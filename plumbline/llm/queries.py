@@ -9,6 +9,7 @@ from plumbline.llm import (  # noqa: F401
     ngrams,
     packing,
     passages,
+    periodic,
     pii,
     simhash,
 )

@@ -1,0 +1,109 @@
+"""Periodic runs against plain loops."""
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from plumbline.llm import periodic
+
+
+def plain_runs(words):
+    found, n = {}, len(words)
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(6, 4 * q):
+                found.setdefault((i, j + q - i), q)
+            i = max(j, i + 1)
+    return sorted((start, length, q) for (start, length), q in found.items())
+
+
+def plain_collapse(words, runs):
+    dropped = {i for s, length, q in runs for i in range(s + q, s + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in dropped)
+
+
+def plain_row(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+    runs = plain_runs(words)
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None, None, None)
+    listed = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    return (
+        doc_id,
+        len(runs),
+        *best,
+        1000 * best[1] // best[2] if runs else None,
+        hashlib.sha256(listed.encode()).hexdigest(),
+        hashlib.sha256(plain_collapse(words, runs).encode()).hexdigest(),
+    )
+
+
+def test_query_against_plain_loops(spark, documents, as_table):
+    lines = ["a b", "no no no no no no", "la la la li la la la li la la la li la la la li x", "x " * 5]
+    made = [(10_000 + k, " ".join(lines[: k % 5]) * (1 + k % 7)) for k in range(300)]
+    rows = documents.select("doc_id", "text").limit(200).union(spark.createDataFrame(made, "doc_id long, text string"))
+    folder = as_table(rows)
+    texts = [(r.doc_id, r.text) for r in rows.collect()]
+    found = sorted(tuple(r) for r in periodic.op13(spark, folder).collect())
+    assert found == sorted(plain_row(*row) for row in texts)
+    assert sum(r[1] > 0 for r in found) > 100
+
+
+def test_random_sequences():
+    rng, total = np.random.RandomState(3), 0
+    for _ in range(60):
+        texts = []
+        for _ in range(8):
+            ids = rng.randint(0, rng.randint(1, 5), rng.randint(0, 150))
+            if len(ids) > 20 and rng.rand() < 0.5:
+                start = rng.randint(0, len(ids))
+                ids[start:] = np.resize(rng.randint(0, 50, rng.randint(1, 30)), len(ids) - start)
+            texts.append(ids.astype(np.int64))
+        for ids, found in zip(texts, periodic.runs_of_texts(texts), strict=True):
+            assert found == plain_runs(ids.tolist())
+            total += len(found)
+    assert total > 200
+
+
+def test_common_extensions():
+    rng = np.random.RandomState(5)
+    ids = np.append(np.resize(rng.randint(0, 3, 37), 700), 9)
+    lce = periodic.CoverLCE(ids)
+    a = rng.randint(0, 701, 4000)
+    b = (a + rng.randint(1, 701, 4000)) % 701
+    for i, j, k in zip(a.tolist(), b.tolist(), lce(a, b).tolist(), strict=True):
+        plain = 0
+        while max(i, j) + plain < 701 and ids[i + plain] == ids[j + plain]:
+            plain += 1
+        assert k == plain
+
+
+def test_batches_of_candidates(monkeypatch):
+    ids = np.resize(np.array([1, 1, 1, 1, 1, 1, 2]), 500).astype(np.int64)
+    whole = periodic.runs_of_texts([ids, ids[:90]])
+    monkeypatch.setattr(periodic, "BATCH", 7)
+    assert periodic.runs_of_texts([ids, ids[:90]]) == whole == [plain_runs(i.tolist()) for i in (ids, ids[:90])]
+
+
+def test_edges(edges, nothing):
+    found = periodic.collapse_runs(edges)
+    assert found.columns == ["doc_id", "n_words", "runs", "text"]
+    rows = {r.doc_id: r for r in found.collect()}
+    assert found.count() == 13 and [rows[k].n_words for k in (1, 2, 3)] == [0, 0, 0]
+    assert rows[1].runs == [] and rows[1].text == "" and rows[11].text == "x" * 50_000
+    # 18 words, 400 times.
+    assert rows[4].runs == [(0, 7200, 18)] and rows[4].text.count("town.") == 1
+    assert periodic.collapse_runs(nothing).count() == 0
+    assert periodic.repeating(edges).filter(F.col("doc_id").isNull()).first().text.endswith("no id")
