@@ -1,6 +1,7 @@
 """All queries of this subpackage: importing the operators registers theirs."""
 
 from plumbline.llm import (  # noqa: F401
+    alignment,
     ann,
     decontam,
     langid,
