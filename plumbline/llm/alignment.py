@@ -90,6 +90,10 @@ class ByteLevel:
             tokens[number] = bytes(byte_of[c] for c in token) if known else token.encode()
         self.vocabulary = Vocabulary(tokens)
 
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(tokens.ids, dtype=np.int64) for tokens in found]
+
     def encode(self, text: str) -> Tokens:
         found = self._tokenizer.encode(text, add_special_tokens=False)
         ids = np.array(found.ids, dtype=np.int64)

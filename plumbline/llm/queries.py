@@ -3,6 +3,7 @@
 from plumbline.llm import (  # noqa: F401
     alignment,
     ann,
+    chat,
     decontam,
     langid,
     licenses,
