@@ -1,8 +1,8 @@
 """Data checks: the rows that fail one, and the failure counts of many.
 
-Rules about single rows of a table are all counted in one aggregate. Rules about keys and
-values are stacked and counted per distinct key or value, from one scan of the table, so a hot key
-shrinks before the shuffle.
+Rules about single rows of a table are all counted in one aggregate, or while the table is written.
+Rules about keys and values are counted per distinct key or value, from one scan of the table, so a
+hot key shrinks before the shuffle.
 """
 
 from __future__ import annotations
@@ -174,25 +174,37 @@ def row_failure_counts(
     )
 
 
-def _stacked(df: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
-    """``check_name`` and ``key`` (text) for every row and check, without nulls: one scan."""
-    pairs = [
-        F.struct(F.lit(name).alias("check_name"), key.cast("string").alias("key"))
-        for name, key in keys.items()
-    ]
-    return df.select(F.inline(F.array(*pairs))).filter("key is not null")
+def _counted_keys(df: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
+    """``check_name``, ``key`` (text) and ``row_count`` for every key of each check, without nulls.
+
+    The keys are counted in their own types, as grouping sets of one scan: a hot key is one row of
+    each task before the shuffle, and only what is left of them becomes text.
+    """
+    columns = [f"key_{i}" for i in range(len(keys))]
+    flat = df.select(*[key.alias(name) for name, key in zip(columns, keys.values(), strict=True)])
+    counted = flat.groupingSets([[name] for name in columns], *columns).agg(
+        F.count(F.lit(1)).alias("row_count"), F.grouping_id().alias("set")
+    )
+    # The bit of a column is 0 in its own set.
+    every = (1 << len(columns)) - 1
+    own = [F.col("set") == (every ^ 1 << (len(columns) - 1 - i)) for i in range(len(columns))]
+    name, key = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for is_set, column, check_name in zip(own, columns, keys, strict=True):
+        name = F.when(is_set, check_name).otherwise(name)
+        key = F.when(is_set, F.col(column).cast("string")).otherwise(key)
+    found = counted.select(name.alias("check_name"), key.alias("key"), "row_count")
+    return found.filter("key is not null")
 
 
 def _key_counts(
     tables: Mapping[str, DataFrame], table: str, checks: Sequence[Check]
 ) -> DataFrame:
-    """How often each key of each check occurs; a key that is hot is one row of each task."""
+    """How often each key of each check occurs."""
     keys = {
         c.name: F.when(c.fails(), named(c.column)) if c.kind == ACCEPTED_VALUES else named(c.column)
         for c in checks
     }
-    counted = _stacked(tables[table], keys).groupBy("check_name", "key")
-    return counted.agg(F.count(F.lit(1)).alias("row_count"))
+    return _counted_keys(tables[table], keys)
 
 
 def _known_keys(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
@@ -205,18 +217,25 @@ def _known_keys(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Dat
             for c in checks
             if c.parent_table == parent
         }
-        parts.append(_stacked(tables[parent], keys).distinct())
+        parts.append(_counted_keys(tables[parent], keys).select("check_name", "key"))
     return reduce(DataFrame.unionByName, parts)
 
 
-def failure_counts(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def failure_counts(
+    tables: Mapping[str, DataFrame],
+    checks: Sequence[Check],
+    counted: Mapping[str, int] | None = None,
+) -> DataFrame:
     """``check_name`` and ``failure_count`` of every check, in one DataFrame.
 
     A failure is a row, but for unique checks a repeated key and for accepted values a value.
-    Each table is scanned once for its checks on rows, once for those on keys and values, and
-    once as the parent of others. Relationships compare a parent's keys in the type of the child.
+    ``counted`` has the failures of checks on rows that are known, as from the write of a table; a
+    table is scanned once for the others of that kind, once for those on keys and values, and once
+    as the parent of others. Relationships compare a parent's keys in the type of the child.
     """
-    parts, counted, related = [], [], []
+    every_check, counted = checks, counted or {}
+    checks = [c for c in checks if c.name not in counted]
+    parts, on_keys_of, related = [], [], []
     for table in dict.fromkeys(c.table for c in checks):
         own = [c for c in checks if c.table == table]
         on_rows = [c for c in own if c.counts_rows]
@@ -224,10 +243,10 @@ def failure_counts(tables: Mapping[str, DataFrame], checks: Sequence[Check]) ->
         if on_rows:
             parts.append(row_failure_counts(tables[table], on_rows))
         if on_keys:
-            counted.append(_key_counts(tables, table, on_keys))
+            on_keys_of.append(_key_counts(tables, table, on_keys))
             related += [c for c in on_keys if c.kind == RELATIONSHIPS]
-    if counted:
-        keys = reduce(DataFrame.unionByName, counted)
+    if on_keys_of:
+        keys = reduce(DataFrame.unionByName, on_keys_of)
         known = F.lit(False)
         if related:
             parents = _known_keys(tables, related).withColumn("known", F.lit(True))
@@ -244,10 +263,15 @@ def failure_counts(tables: Mapping[str, DataFrame], checks: Sequence[Check]) ->
             .when(kinds[RELATIONSHIPS], F.when(known, F.lit(0)).otherwise(rows))
         )
         parts.append(keys.select("check_name", failures.alias("failure_count")))
-        # Checks of tables without any key have no row so far.
-        names = pa.array([c.name for c in checks if not c.counts_rows], pa.string())
-        zero = pa.table({"check_name": names, "failure_count": pa.array([0] * len(names), pa.int64())})
-        parts.append(keys.sparkSession.createDataFrame(zero))
+    # Checks of tables without any key have no row so far.
+    given = {c.name: counted.get(c.name, 0) for c in every_check if c.name in counted or not c.counts_rows}
+    if given:
+        rows = {
+            "check_name": pa.array(list(given), pa.string()),
+            "failure_count": pa.array(list(given.values()), pa.int64()),
+        }
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame(pa.table(rows)))
     every = reduce(DataFrame.unionByName, parts)
     return every.groupBy("check_name").agg(F.sum("failure_count").alias("failure_count"))
 
