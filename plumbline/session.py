@@ -54,6 +54,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written; nothing happens where there is none."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
+
+
 def write_then_swap(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Put ``df`` in place of the table at ``path``, which stays as it is until the new one is
     whole; ``df`` may read it."""
