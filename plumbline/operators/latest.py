@@ -34,6 +34,10 @@ def top_per_key(
 
 
 def of_latest_run(history: DataFrame) -> DataFrame:
-    """Rows of the run with the greatest ``run_at``."""
-    latest = history.select(F.max("run_at")).scalar()
-    return history.where(F.col("run_at") == latest)
+    """Rows of the run with the greatest ``run_at``; of runs at the same time, the one with the
+    greatest ``run_id``.
+
+    One scan: each task keeps the rows of its own latest run, and only these meet in one task.
+    """
+    newest = Window.orderBy(F.col("run_at").desc_nulls_last(), F.col("run_id").desc_nulls_last())
+    return history.withColumn(_RANK, F.rank().over(newest)).filter(F.col(_RANK) == 1).drop(_RANK)

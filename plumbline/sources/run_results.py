@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ DOCUMENT = T.StructType(
 )
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All documents below ``path``, with their file and its folder. A file that cannot be read is
     an error that names it."""
     return (
@@ -108,7 +109,7 @@ def flatten(
     )
 
 
-def log_run_results(spark: SparkSession, path: str, log_path: str) -> int:
+def log_run_results(spark: SparkSession, path: str | list[str], log_path: str) -> int:
     """Add all documents below ``path`` to the check history; returns the number of results."""
     written = Observation()
     results = flatten(read_documents(spark, path)).observe(
@@ -119,3 +120,35 @@ def log_run_results(spark: SparkSession, path: str, log_path: str) -> int:
     if not rows:
         logger.warning("no results in %s", path)
     return rows
+
+
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file``, ``modified`` and ``bytes`` of the documents below ``path``; none of them is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return found.select(
+        F.col("path").alias("file"),
+        F.col("modificationTime").alias("modified"),
+        F.col("length").alias("bytes"),
+    )
+
+
+def log_new_run_results(spark: SparkSession, path: str, log_path: str, files_path: str) -> int:
+    """As ``log_run_results``, for those documents alone that ``files_path`` does not list yet with
+    the same time and size; returns the number of results.
+
+    Documents that are known cost a place in the listing and are not opened. A document that was
+    written anew is read again and replaces its run. The list is written after the results, so
+    that what a failure leaves unlisted is read once more, to the same end.
+    """
+    known = history.read(spark, files_path, history.READ_FILES).select("file", "modified", "bytes")
+    new = listed_files(spark, path).join(known, ["file", "modified", "bytes"], "left_anti")
+    files = new.collect()  # one for each new run
+    if not files:
+        return 0
+    rows = log_run_results(spark, [row.file for row in files], log_path)
+    reading = f"read-{uuid.uuid4().hex}"
+    listed = spark.createDataFrame(
+        [(reading, *row) for row in files], history.READ_FILES
+    )
+    history.append(listed, files_path, history.READ_FILES)
+    return rows

@@ -128,7 +128,7 @@ def anomaly_against_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def anomaly_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Non-passing checks of the latest run; the history is taken up to the last complaint."""
-    history = materialize(anomaly_history(spark, sf_dir), "anomalies")
+    history = anomaly_history(spark, sf_dir)
     return _shown(of_latest_run(alerts.non_passing_anomalies(history)))
 
 

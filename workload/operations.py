@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import alerts, checks, health
 from plumbline.plans import check_catalog
-from plumbline.session import materialize
 from plumbline.sources import history, run_results
 from workload import star
 from workload.anomalies import anomaly_history
@@ -63,12 +62,9 @@ def _shown(results: DataFrame) -> DataFrame:
 
 
 def _histories(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Both histories as written tables, for queries that first look for the latest run."""
     return (
-        materialize(check_history(spark, sf_dir), "checks"),
-        materialize(
-            history.conform(anomaly_history(spark, sf_dir), history.ANOMALY_RESULTS), "anomalies"
-        ),
+        check_history(spark, sf_dir),
+        history.conform(anomaly_history(spark, sf_dir), history.ANOMALY_RESULTS),
     )
 
 

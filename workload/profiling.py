@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -202,3 +203,57 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without the distinct counts, which are estimates."""
     found = profile.table_profile(star.table(spark, sf_dir, "lineitem"))
     return found.drop("distinct_count")
+
+
+_PARTS = ("A", "N", "R")
+_SKETCHED = {
+    "l_orderkey": _PLAIN,
+    "l_partkey": _PLAIN,
+    "l_quantity": _REAL,
+    "l_extendedprice": _REAL,
+    "l_returnflag": _PLAIN,
+    "l_shipdate": _SECONDS,
+}
+
+
+def _distinct_sql() -> str:
+    parts = [(part, f"WHERE l_returnflag = '{part}'") for part in _PARTS] + [("all", "")]
+    return " UNION ALL ".join(
+        f"SELECT '{part}' AS delivery, '{column}' AS column_name, count(*) AS row_count, "
+        f"count(*) - count({column}) AS null_count, count(DISTINCT {column}) AS exact_count, "
+        f"true AS within_error, {shown.format(f'min({column})')} AS min_value, "
+        f"{shown.format(f'max({column})')} AS max_value FROM lineitem {condition}"
+        for part, condition in parts
+        for column, shown in _SKETCHED.items()
+    )
+
+
+@query("distinct_counts_of_deliveries", _distinct_sql())
+def distinct_counts_of_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines as three deliveries by return flag: the sketches of each, and these merged, against
+    exact counts."""
+    lines = star.table(spark, sf_dir, "lineitem").select(*_SKETCHED)
+    flag = F.col("l_returnflag")
+    kept = reduce(
+        DataFrame.unionByName,
+        [
+            profile.column_sketches(lines.filter(flag == part)).withColumn("delivery", F.lit(part))
+            for part in _PARTS
+        ],
+    )
+    whole = profile.merged_sketches(kept).withColumn("delivery", F.lit("all"))
+    found = profile.profile_of(kept.unionByName(whole))
+    dealt = lines.select("*", F.explode(F.array(flag, F.lit("all"))).alias("delivery"))
+    exact = dealt.groupBy("delivery").agg(*[F.countDistinct(c).alias(c) for c in _SKETCHED])
+    exact = exact.unpivot("delivery", list(_SKETCHED), "column_name", "exact_count")
+    off_by = F.abs(F.col("distinct_count") - F.col("exact_count"))
+    return found.join(exact, ["delivery", "column_name"]).select(
+        "delivery",
+        "column_name",
+        "row_count",
+        "null_count",
+        "exact_count",
+        (off_by <= F.col("exact_count") * profile.DISTINCT_ERROR).alias("within_error"),
+        "min_value",
+        "max_value",
+    )
