@@ -30,7 +30,7 @@ def main() -> int:
         spark,
         arguments.csv,
         arguments.root,
-        contract=Contract.from_file(arguments.contract) if arguments.contract else None,
+        contract=Contract.from_store(spark, arguments.contract) if arguments.contract else None,
         expected_rows=arguments.expected_rows,
         multiline=arguments.multiline,
         dry_run=arguments.dry_run,

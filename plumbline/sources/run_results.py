@@ -140,6 +140,7 @@ def log_new_run_results(spark: SparkSession, path: str, log_path: str, files_pat
     written anew is read again and replaces its run. The list is written after the results, so
     that what a failure leaves unlisted is read once more, to the same end.
     """
+    history.ensure(spark, files_path, history.READ_FILES)
     known = history.read(spark, files_path, history.READ_FILES).select("file", "modified", "bytes")
     new = listed_files(spark, path).join(known, ["file", "modified", "bytes"], "left_anti")
     files = new.collect()  # one for each new run

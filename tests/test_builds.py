@@ -1,0 +1,256 @@
+"""Fingerprints, counts taken while writing, odd rows of a delivery, sketches, new documents."""
+
+import datetime as dt
+import json
+import re
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+import seed
+from plumbline.operators import checks, fingerprint, health, latest, profile
+from plumbline.operators.watch import Watch
+from plumbline.plans import check_catalog, daily_run, ingest
+from plumbline.sources import history, run_results, snapshots
+from plumbline.sources.contracts import Contract, shipment_contract
+
+DAY = dt.datetime(2024, 1, 1, 6, tzinfo=dt.timezone.utc)
+SCHEMA = "`a b` int, s string, x double, m map<string,int>"
+
+
+def prints(df):
+    return {r.column_name: tuple(r)[1:] for r in fingerprint.fingerprint(df).collect()}
+
+
+def test_fingerprints_tell_rows_apart_and_not_their_order(spark):
+    rows = [(k, None if k % 3 else str(k), k / 7, {"p": k, "q": 1}) for k in range(50)] + [(None, "7", None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    own = prints(df)
+    assert set(own) == {"", "a b", "s", "x", "m"} and own[""][0] == 51
+    again = spark.createDataFrame(rows[::-1], SCHEMA).repartition(7).select("x", "m", "a b", "s")
+    assert prints(again) == own
+    # A repeated row, a null in the place of an empty text, and a value in another row.
+    assert prints(df.union(df.limit(1)))[""] != own[""]
+    assert prints(df.withColumn("s", F.coalesce("s", F.lit(""))))["s"] != own["s"]
+    moved = spark.createDataFrame([(1, "u"), (2, "v")], "i int, t string")
+    swapped = spark.createDataFrame([(1, "v"), (2, "u")], "i int, t string")
+    there, here = prints(moved), prints(swapped)
+    assert there["i"] == here["i"] and there["t"] == here["t"] and there[""] != here[""]
+    shifted = spark.createDataFrame([(None, "u")], "i string, t string")
+    assert prints(shifted)[""] != prints(shifted.select(F.col("t").alias("i"), F.col("i").alias("t")))[""]
+    zeros = spark.createDataFrame([(0.0,), (-0.0,)], "x double")
+    assert prints(zeros) == prints(zeros.select(F.abs("x").alias("x")))
+    assert prints(df.limit(0))[""] == (0, 0, 0)
+
+
+def test_fingerprints_side_by_side(spark):
+    a = spark.createDataFrame([(1, "u"), (2, "v")], "i int, t string")
+    b = a.withColumn("t", F.upper("t")).withColumn("extra", F.lit(1))
+    found = fingerprint.compared(fingerprint.fingerprint(a), fingerprint.fingerprint(b)).collect()
+    assert {r.column_name: r.same for r in found} == {"": False, "i": True, "t": False, "extra": False}
+
+
+def test_repeats_that_differ(spark):
+    def rows(*tables, run_id, at):
+        return [(run_id, at, name, 1, Decimal(value), Decimal(value)) for name, value in tables]
+
+    day = dt.timedelta(days=1)
+    past = spark.createDataFrame(
+        rows(("raw", 1), ("fact", 5), run_id="r1", at=DAY)
+        + rows(("raw", 1), ("fact", 6), ("dim", 7), run_id="r2", at=DAY + day)
+        + rows(("raw", 2), ("fact", 8), run_id="r3", at=DAY + 2 * day),
+        history.FINGERPRINTS,
+    )
+
+    def against(*tables):
+        own = spark.createDataFrame(rows(*tables, run_id="r4", at=DAY), history.FINGERPRINTS)
+        found = fingerprint.differing_repeats(own, past, "raw").collect()
+        return {(r.table_name, r.other_run) for r in found}
+
+    assert against(("raw", 1), ("fact", 6), ("dim", 7), ("new", 1)) == set()
+    assert against(("raw", 1), ("fact", 5), ("dim", 7)) == {("fact", "r2")}
+    assert against(("raw", 3), ("fact", 5)) == set()
+
+
+def test_counts_are_those_of_a_scan(spark, tmp_path):
+    rules = [checks.not_null("t", "a"), checks.row_rule("odd", "t", "b % 2 = 1", ["b"]), checks.unique("t", "a")]
+    df = spark.range(1000).select(F.when(F.col("id") % 10 != 0, F.col("id") % 50).alias("a"), F.col("id").alias("b"))
+    watch = Watch(rules, fingerprint=True)
+    watch.on(df.repartition(5)).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert watch.rows == 1000 and watch.failures() == {"not_null_t_a": 100, "odd": 500}
+    assert watch.fingerprint() == prints(stored)[""]
+
+    def counts(**kwargs):
+        return {r.check_name: r.failure_count for r in checks.failure_counts({"t": stored}, rules, **kwargs).collect()}
+
+    assert counts() == counts(counted=watch.failures()) == {"not_null_t_a": 100, "odd": 500, "unique_t_a": 45}
+    plan = checks.failure_counts({"t": stored}, rules[:2], watch.failures())
+    assert "FileScan" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+EXPORT = (
+    'a,b,c\n1,2,3\n4,5" pipe\n6,7,8,9\n10,11,"torn\nrest",x\n12,"torn early\nmore",13\n14,15"\n'
+    '16,17,"""quoted"" x"\n\n18,"x, y",20\n19\n'
+)
+
+
+def test_odd_rows_are_listed_with_their_numbers(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "1.csv").write_text(EXPORT)
+    (folder / "2.csv").write_text("a,b,c\n" + "1,2,3\n" * 40_000 + "1,2\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        parsed = ingest.parse(spark, str(folder), str(tmp_path / "pending"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    found = sorted((r.file[-5:], r.record, r.reason, r.fields, r.text, r.loaded) for r in parsed.rejects.collect())
+    assert found == [
+        ("1.csv", 2, "short", 2, '4,5" pipe', True),
+        ("1.csv", 3, "long", 4, "6,7,8,9", False),
+        ("1.csv", 5, "torn", 2, 'rest",x', False),
+        ("1.csv", 6, "torn", 2, '12,"torn early', False),
+        ("1.csv", 7, "torn", 2, 'more",13', False),
+        ("1.csv", 8, "short", 2, '14,15"', True),
+        ("1.csv", 11, "short", 1, "19", True),
+        ("2.csv", 40_001, "short", 2, "1,2", True),
+    ]
+    assert (parsed.long_rows, parsed.torn_rows) == (1, 3)
+    with pytest.raises(ingest.LineBreakInQuotes):
+        parsed.refuse()
+    assert parsed.rows.columns == ["a", "b", "c"]
+    assert {r.column_name: r.row_count for r in parsed.profile.collect()} == {c: 40_012 for c in "abc"}
+
+
+def load(spark, tmp_path, path, **kwargs):
+    return ingest.load_snapshot(
+        spark, str(path), str(tmp_path / "raw"), str(tmp_path / "drift"), run_id="r", run_at=DAY, **kwargs
+    )
+
+
+def test_a_delivery_is_parsed_once_and_leaves_nothing_behind(spark, tmp_path, monkeypatch):
+    rows = seed.rows(5)
+    path = seed.write_csv(tmp_path / "a.csv", rows)
+    swap = snapshots.write_then_swap
+
+    def without_the_file(*args):
+        (tmp_path / "a.csv").unlink()  # what is written now cannot come from it
+        swap(*args)
+
+    monkeypatch.setattr(snapshots, "write_then_swap", without_the_file)
+    watch = Watch()
+    result = load(spark, tmp_path, path, rejects_path=str(tmp_path / "rejects"), watch=watch)
+    assert result.is_valid and watch.rows == 5
+    stored = spark.read.parquet(str(tmp_path / "raw"))
+    assert stored.count() == 5 and set(stored.columns) == set(rows[0]) - {"Customer Password"}
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 0
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["raw", "rejects"]
+
+
+def test_columns_that_are_not_stored_are_checked(spark, tmp_path):
+    path = seed.write_csv(tmp_path / "a.csv", [r | {"Customer Password": "2020-01-01"} for r in seed.rows(5)])
+    parsed = ingest.parse(spark, path, str(tmp_path / "pending"))
+    found = {r.column_name: r for r in parsed.profile.collect()}
+    plain = profile.column_profile(snapshots.read_snapshot(spark, path)).collect()
+    assert found["Customer Password"].date_rate == 1.0 and found == {r.column_name: r for r in plain}
+    assert "Customer Password" not in spark.read.parquet(str(tmp_path / "pending")).columns
+
+
+def test_refused_rows_are_kept_for_review(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n3\n4,5,6\n")
+    with pytest.raises(ingest.TooManyFields):
+        load(spark, tmp_path, tmp_path / "a.csv", rejects_path=str(tmp_path / "rejects"))
+    found = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    assert {(r.record, r.reason, r.loaded) for r in found} == {(2, "short", True), (3, "long", False)}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a.csv", "rejects"]
+
+
+def test_sketches_of_parts_merge(spark):
+    df = spark.range(60_000).select(
+        (F.col("id") % 30_000).alias("i"),
+        (F.col("id") / 4 - 100).alias("x"),
+        F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("s"),
+        (F.col("id") % 7).cast("decimal(9,2)").alias("d"),
+        F.lit(None).cast("date").alias("nothing"),
+    )
+    parts = [profile.column_sketches(df.filter(F.col("i") % 3 == k)) for k in range(3)]
+    whole = profile.profile_of(profile.merged_sketches(parts[0].union(parts[1]).union(parts[2])))
+    found = {r.column_name: r for r in whole.collect()}
+    assert found == {r.column_name: r for r in profile.table_profile(df).select(whole.columns).collect()}
+    for name, exact in (("i", 30_000), ("x", 60_000), ("s", 30_000), ("d", 7), ("nothing", 0)):
+        assert abs(found[name].distinct_count - exact) <= exact * profile.DISTINCT_ERROR
+    assert (found["x"].min_value, found["x"].max_value) == ("-100.0", "14899.75")
+    assert (found["i"].max_value, found["s"].null_count, found["d"].max_value) == ("29999", 30_000, "6.00")
+    assert found["nothing"].min_value is None and found["nothing"].null_count == 60_000
+    assert profile.table_profile(df.limit(0)).filter("row_count = 0").count() == 5
+
+
+def test_runs_at_one_time_stay_apart_and_one_scan_finds_the_latest(spark, tmp_path):
+    rows = [(r, DAY, f"t{k}", "m", "", "pass" if k else "fail", "info", 0) for r in ("a", "b") for k in range(3)]
+    schema = "run_id string, run_at timestamp, test_name string, model_name string, column_name string, status string, severity string, failure_count long"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert {(r.run_id, r.test_name) for r in latest.of_latest_run(log).collect()} == {("b", f"t{k}") for k in range(3)}
+    found = health.latest_pass_rate(log)
+    assert tuple(found.first())[:2] == (2, 3) and found.first().total_runs == 2
+    for df in (latest.of_latest_run(log), found):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall("FileScan", plan)) == 1
+    empty = health.latest_pass_rate(log.limit(0)).first()
+    assert (empty.total_tests, empty.pass_rate, empty.health, empty.total_runs) == (0, 100.0, "HEALTHY", 0)
+
+
+def test_only_new_documents_are_read(spark, tmp_path, monkeypatch):
+    folder, log, known = (str(tmp_path / name) for name in ("results", "log", "known"))
+    (tmp_path / "results").mkdir()
+
+    def write(name, run_id, status="pass"):
+        results = [{"unique_id": "test.shop.a", "status": status}, {"unique_id": "test.shop.b"}]
+        document = {"metadata": {"invocation_id": run_id, "generated_at": "2024-01-01T00:00:00Z"}, "results": results}
+        (tmp_path / "results" / name).write_text(json.dumps(document))
+
+    write("1.json", "r1")
+    assert run_results.log_new_run_results(spark, folder, log, known) == 2
+    read = run_results.read_documents
+    opened = []
+    monkeypatch.setattr(run_results, "read_documents", lambda s, p: opened.extend(p) or read(s, p))
+    assert run_results.log_new_run_results(spark, folder, log, known) == 0 and not opened
+    write("2.json", "r2")
+    assert run_results.log_new_run_results(spark, folder, log, known) == 2
+    assert [p[-6:] for p in opened] == ["2.json"]
+    # A document that is written anew replaces its run; one that is broken is an error and stays new.
+    write("1.json", "r1", "failed again")
+    assert run_results.log_new_run_results(spark, folder, log, known) == 2
+    found = history.read(spark, log, history.CHECK_RESULTS)
+    assert found.count() == 4 and found.filter("status = 'failed again'").count() == 1
+    (tmp_path / "results" / "3.json").write_text("{")
+    for _ in range(2):
+        with pytest.raises(Exception, match="3.json"):
+            run_results.log_new_run_results(spark, folder, log, known)
+
+
+def test_contracts_are_read_from_a_store(spark, tmp_path):
+    path = tmp_path / "contract.json"
+    path.write_text(json.dumps(shipment_contract().to_config()))
+    assert Contract.from_store(spark, str(path)) == Contract.from_file(str(path)) == shipment_contract()
+
+
+def test_a_run_logs_what_it_built_and_a_repeat_that_differs(spark, tmp_path, monkeypatch, caplog):
+    path = seed.write_csv(tmp_path / "a.csv", seed.rows())
+    warehouse = daily_run.Warehouse(str(tmp_path / "warehouse"))
+    go = {"run_id": "r1", "run_at": DAY, "expected_rows": 50}
+    assert daily_run.run(spark, path, warehouse.root, **go) == daily_run.SUCCEEDED
+    logged = history.read(spark, warehouse.fingerprints, history.FINGERPRINTS)
+    assert {r.table_name: r.row_count for r in logged.collect()}[check_catalog.FACT] == 50
+    sketches = history.read(spark, warehouse.sketches, history.COLUMN_SKETCHES)
+    assert {r.distinct_count for r in profile.profile_of(sketches).filter("column_name = 'Market'").collect()} == {1}
+    assert daily_run.run(spark, path, warehouse.root, **go) == daily_run.SUCCEEDED
+    assert "differs" not in caplog.text
+    build = daily_run.marts.fact_shipments
+    moved = F.when(F.rand(5) < 2, "elsewhere")
+    monkeypatch.setattr(daily_run.marts, "fact_shipments", lambda items: build(items).withColumn("market", moved))
+    daily_run.run(spark, path, warehouse.root, **go | {"run_id": "r2"})
+    assert "fact_shipments differs from that of run r1" in caplog.text

@@ -252,6 +252,17 @@ def run_results_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A document holds the checks of one run, so its size does not grow with the data.
     """
+    documents = (
+        result_documents(check_history(spark, sf_dir))
+        .select(F.to_json(F.struct("metadata", "results")).alias("document"))
+        .select(F.from_json("document", run_results.DOCUMENT).alias("d"))
+        .select("d.*")
+    )
+    return _shown_with_message(run_results.flatten(documents))
+
+
+def result_documents(results: DataFrame) -> DataFrame:
+    """A check history as ``metadata`` and ``results`` of one document per run."""
     failures = F.col("failure_count")
     generic = F.col("column_name") != ""
     result = F.struct(
@@ -266,25 +277,15 @@ def run_results_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("failure_count").alias("failures"),
         F.when(failures > 0, F.format_string("Got %d results", failures)).alias("message"),
     )
-    documents = (
-        check_history(spark, sf_dir)
-        .groupBy("run_id", "run_at")
+    metadata = F.struct(
+        F.col("run_id").alias("invocation_id"),
+        F.date_format("run_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generated_at"),
+    )
+    return (
+        results.groupBy("run_id", "run_at")
         .agg(F.collect_list(result).alias("results"))
-        .select(
-            F.to_json(
-                F.struct(
-                    F.struct(
-                        F.col("run_id").alias("invocation_id"),
-                        F.date_format("run_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generated_at"),
-                    ).alias("metadata"),
-                    "results",
-                )
-            ).alias("document")
-        )
-        .select(F.from_json("document", run_results.DOCUMENT).alias("d"))
-        .select("d.*")
+        .select(metadata.alias("metadata"), "results")
     )
-    return _shown_with_message(run_results.flatten(documents))
 
 
 def _shown_with_message(results: DataFrame) -> DataFrame:
