@@ -11,6 +11,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ END_ID = 1
 ROUND_TOKENS = 1 << 22
 # Pieces of text whose ids a worker remembers.
 CACHED_PIECES = 1_000_000
+# New pieces that are encoded as one text.
+JOINED_PIECES = 200
 
 Piece = tuple[int, int, int]  # document of the round, first id, number of ids
 
@@ -34,52 +37,103 @@ class Encoder:
     """Ids of texts. Texts are cut where no token can span, and equal pieces are encoded once.
 
     The cut is before a single blank or line break between two other characters: the tokenizer's
-    own pattern starts a new pre-token there, and no look-ahead reaches across.
+    own pattern starts a new pre-token there, and no look-ahead reaches across. So pieces that
+    begin with such a character may stand one after another in any order: many new ones are
+    encoded as one text, whose tokens are dealt out by the bytes they stand for.
     """
 
-    _irregular = re.compile(r"[ \n]{2}|[^\S \n]|\x00")
     _cut = re.compile(r"(?<=\S)(?=[ \n]\S)")
-
-    # A special token of the vocabulary: it splits a text, and no id spans it.
-    _mark = "<|endoftext|>"
+    _joinable = re.compile(r"[ \n]\S(?s:.*\S)?")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._mark_id = self._tokenizer.token_to_id(self._mark)
-        self._ids: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> np.ndarray:
-        if self._irregular.search(text):
-            pieces = self._cut.split(text)
-        else:
-            pieces = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-        missing = [piece for piece in set(pieces) if piece not in self._ids]
-        if missing:
-            if len(self._ids) > CACHED_PIECES:
-                self._ids.clear()
-                missing = list(set(pieces))
-            for first in range(0, len(missing), 256):
-                self._learn(missing[first : first + 256])
-        return np.frombuffer(b"".join(map(self._ids.__getitem__, pieces)), dtype="<u4")
-
+        special = {n: t.content for n, t in self._tokenizer.get_added_tokens_decoder().items()}
+        # Byte-level tokens are written with a character for each byte.
+        sizes = {n: len(t) for t, n in self._tokenizer.get_vocab().items()}
+        sizes |= {n: len(content.encode()) for n, content in special.items()}
+        self._bytes = np.zeros(max(sizes) + 1, dtype=np.int64)
+        self._bytes[list(sizes)] = list(sizes.values())
+        self._clear()
+
+    def _clear(self) -> None:
+        self._number = _Numbers()
+        self._ids = np.empty(0, dtype="<u4")
+        self._starts = self._sizes = np.empty(0, dtype=np.int64)
+
+    def _pieces(self, text: str) -> list[str]:
+        # Regular texts have one blank or line break between words and no other white space.
+        if "\0" in text or text.replace("\n", " ") != " ".join(text.split()):
+            return self._cut.split(text)
+        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, by one pass over the pieces of all."""
+        split = [self._pieces(text) for text in texts]
+        if len(self._number) > CACHED_PIECES:
+            self._clear()
+        flat = np.fromiter(
+            map(self._number.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split))
+        )
+        self._learn(self._number.take_new())
+        sizes = self._sizes[flat]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self._ids[np.arange(ends[-1]) + np.repeat(self._starts[flat] - ends[:-1], sizes)]
+        cuts = ends[np.cumsum([len(pieces) for pieces in split])]
+        return np.split(ids, cuts[:-1])
 
     def _learn(self, pieces: list[str]) -> None:
-        """Encode some pieces at once, which costs half as much as one by one."""
-        if self._mark_id is None or any(self._mark in piece for piece in pieces):
-            encoded = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-            parts = [np.array(e.ids, dtype="<u4") for e in encoded]
-        else:
-            joined = self._tokenizer.encode_batch_fast(
-                [self._mark.join(pieces)], add_special_tokens=False
-            )
-            ids = np.array(joined[0].ids, dtype="<u4")
-            at = np.flatnonzero(ids == self._mark_id)
-            firsts, lasts = np.concatenate([[0], at + 1]), np.concatenate([at, [len(ids)]])
-            parts = [ids[a:b] for a, b in zip(firsts, lasts, strict=True)]
-        self._ids.update((p, ids.tobytes()) for p, ids in zip(pieces, parts, strict=True))
+        """Encode new pieces, which are numbered on from those that are known."""
+        joinable = [bool(self._joinable.fullmatch(piece)) for piece in pieces]
+        order = sorted(range(len(pieces)), key=joinable.__getitem__)
+        single = len(pieces) - sum(joinable)
+        parts = [self._one_by_one([pieces[k] for k in order[:single]])]
+        for first in range(single, len(order), JOINED_PIECES):
+            parts.append(self._joined([pieces[k] for k in order[first : first + JOINED_PIECES]]))
+        sizes = np.concatenate([own for _, own in parts])
+        new = np.empty((2, len(pieces)), dtype=np.int64)
+        new[:, order] = len(self._ids) + np.cumsum(sizes) - sizes, sizes
+        self._ids = np.concatenate([self._ids, *[ids for ids, _ in parts]])
+        self._starts = np.concatenate([self._starts, new[0]])
+        self._sizes = np.concatenate([self._sizes, new[1]])
+
+    def _one_by_one(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all the pieces, and how many each has."""
+        encoded = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        ids = [e.ids for e in encoded]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), "<u4", int(sizes.sum())), sizes
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_one_by_one``, for joinable pieces: encoded as one text."""
+        found = self._tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)
+        ids = np.array(found[0].ids, dtype="<u4")
+        ends = np.cumsum(self._bytes[ids])
+        piece_ends = np.cumsum([len(piece.encode()) for piece in pieces])
+        cuts = np.searchsorted(ends, piece_ends) + 1
+        if not np.array_equal(ends[np.minimum(cuts, len(ends)) - 1], piece_ends):
+            return self._one_by_one(pieces)  # tokens that do not stand for their own bytes
+        return ids, np.diff(cuts, prepend=0)
+
+
+class _Numbers(dict):
+    """Numbers texts in the order in which they are first asked for."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self._new: list[str] = []
+
+    def __missing__(self, text: str) -> int:
+        number = self[text] = len(self)
+        self._new.append(text)
+        return number
+
+    def take_new(self) -> list[str]:
+        """Those numbered since the last call."""
+        new, self._new = self._new, []
+        return new
 
 
 class Packer:
@@ -208,8 +262,8 @@ def pack(
         next_id = TaskContext.get().partitionId() << 33
         end = np.array([END_ID], dtype="<u4")
         for keys, texts in chunks(batches):
-            for doc_id, text in zip(keys, texts, strict=True):
-                ids = np.concatenate([encoder.encode(text.decode()), end])
+            for doc_id, own in zip(keys, encoder.encode_all([t.decode() for t in texts]), strict=True):
+                ids = np.concatenate([own, end])
                 packer.add(len(docs), len(ids))
                 docs.append((doc_id, ids))
                 held += len(ids)

@@ -70,7 +70,50 @@ def test_tokens_of_cut_texts_are_those_of_whole_ones():
     odd += ["".join(rng.choice("ab \n.é'1\t ") for _ in range(rng.randint(0, 60))) for _ in range(400)]
     for text in odd:
         whole = encoder._tokenizer.encode(text, add_special_tokens=False).ids
-        assert encoder.encode(text).tolist() == whole, repr(text)
+        assert encoder.encode_all([text])[0].tolist() == whole, repr(text)
+    together = encoder.encode_all(odd * 2)
+    fresh = packing.Encoder(packing.tokenizer_path())
+    assert [ids.tolist() for ids in together] == [ids.tolist() for ids in fresh.encode_all(odd * 2)]
+    assert encoder.encode_all([""])[0].tolist() == []
+
+
+def test_pieces_that_are_forgotten_are_learned_again(texts, monkeypatch):
+    whole = packing.Encoder(packing.tokenizer_path()).encode_all(list(texts.values()))
+    monkeypatch.setattr(packing, "CACHED_PIECES", 100)
+    monkeypatch.setattr(packing, "JOINED_PIECES", 7)
+    encoder = packing.Encoder(packing.tokenizer_path())
+    for text, ids in zip(texts.values(), whole, strict=True):
+        assert encoder.encode_all([text])[0].tolist() == ids.tolist()
+
+
+def test_every_document_goes_where_the_sum_of_squares_grows_least():
+    """Against a plain loop over the levels, for thousands of documents."""
+    capacity, rng = 64, random.Random(11)
+    packer, counts = packing.Packer(capacity), Counter()
+    for doc in range(5000):
+        size = min(200, int(rng.paretovariate(0.8)))
+        packer.add(doc, size)
+        rest = size % capacity
+        if not rest:
+            continue
+        costs = {}
+        for level in range(capacity - rest + 1):
+            if level and not counts[level]:
+                continue
+            after = Counter(counts)
+            if level:
+                after[level] -= 1
+            if level + rest < capacity:
+                after[level + rest] += 1
+            costs[level] = sum(n * n for n in after.values()) - sum(n * n for n in counts.values())
+        best = max(level for level, cost in costs.items() if cost == min(costs.values()))
+        if best:
+            counts[best] -= 1
+        if best + rest < capacity:
+            counts[best + rest] += 1
+        if doc % 100 == 0:
+            assert +counts == +Counter(dict(enumerate(packer._counts.tolist())))
+    assert +counts == +Counter(dict(enumerate(packer._counts.tolist())))
 
 
 def test_sum_of_squares_prefers_the_level_that_grows_least():
