@@ -8,9 +8,11 @@ suffixes that hold one within the shortest window are left out of the array befo
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,36 +26,59 @@ WINDOW = 13
 SHARE = 20
 # Test texts that one pass over the documents searches for, by bytes; more take more passes.
 SLICE_BYTES = 8 << 20
+# Windows that are searched for together.
+BLOCK = 1 << 16
 
 _MATCH = "array<struct<start: bigint, length: bigint, item_id: bigint, item_start: bigint>>"
 
 
 class TestSuffixes:
-    """The test texts of one slice: word numbers, and each different window once."""
+    """The test texts of one slice: word numbers, and each different window once.
+
+    Items of the same words are one, with several ids. ``arrays`` is all there is to it, as plain
+    arrays: that is what executors get, so that they need no copy of the package.
+    """
 
     __test__ = False  # not a pytest class
 
-    def __init__(self, items: list[tuple[int | None, str]], window: int = WINDOW):
+    def __init__(self, arrays: dict):
+        self.arrays = arrays
+        self.vocabulary, self.words = arrays["vocabulary"], arrays["words"]
+        self.first, self.size, self.item_ids = arrays["first"], arrays["size"], arrays["item_ids"]
+        # By length: one place of each window; all places, grouped by window, and their bounds.
+        self.windows = arrays["windows"]
+        self.shortest = min((w[0] for w in self.windows), default=0)
+
+    @classmethod
+    def of(cls, items: list[tuple[int | None, str]], window: int = WINDOW) -> TestSuffixes:
+        """Of items in the order of their ids."""
         texts = [(text or "").encode() for _, text in items]
         words = Words(texts, PLAIN)
-        self.vocabulary, numbers = np.unique(words.hashes, return_inverse=True)
-        self.words = (numbers + 1).astype(np.int64)
+        vocabulary, numbers = np.unique(words.hashes, return_inverse=True)
+        numbers = (numbers + 1).astype(np.int32)
         bounds = words.bounds(len(items))
-        self.first, self.size = bounds[:-1], np.diff(bounds)
-        self.item_ids = [item_id for item_id, _ in items]
-        # By length: windows as rows of word numbers; where each window occurs, grouped by window.
-        self.windows: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
-        for length in np.unique(np.minimum(self.size[self.size > 0], window)).tolist():
-            whole = self.size >= window if length == window else self.size == length
+        ids: dict[bytes, list[int | None]] = {}
+        for (item_id, _), a, b in zip(items, bounds[:-1], bounds[1:], strict=True):
+            ids.setdefault(numbers[a:b].tobytes(), []).append(item_id)
+        own = np.frombuffer(b"".join(ids), dtype=np.int32)
+        size = np.array([len(item) // 4 for item in ids], dtype=np.int64)
+        first = np.cumsum(size) - size
+        windows = []
+        for length in np.unique(np.minimum(size[size > 0], window)).tolist():
+            whole = size >= window if length == window else size == length
             starts = np.concatenate(
-                [np.arange(a, a + n - length + 1) for a, n in zip(self.first[whole], self.size[whole])]
+                [np.arange(a, a + n - length + 1) for a, n in zip(first[whole], size[whole])]
             )
-            rows = self.words[starts[:, None] + np.arange(length)]
-            different, which = np.unique(rows, axis=0, return_inverse=True)
-            order = np.argsort(which.ravel(), kind="stable")
-            bounds = np.searchsorted(which.ravel()[order], np.arange(len(different) + 1))
-            self.windows.append((length, different, starts[order], bounds))
-        self.shortest = min((w[0] for w in self.windows), default=0)
+            starts, bounds = _grouped(own, starts, length)
+            windows.append((length, starts[bounds[:-1]], starts, bounds))
+        arrays = {"vocabulary": vocabulary, "words": own, "first": first, "size": size}
+        return cls({**arrays, "item_ids": list(ids.values()), "windows": windows})
+
+    def blocks(self, length: int, places: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The windows at some places as rows, so many at a time, and the number of the first."""
+        for first in range(0, len(places), BLOCK):
+            some = places[first : first + BLOCK]
+            yield first, self.words[some[:, None] + np.arange(length)].astype(np.int64)
 
     def item_of(self, place: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, place, side="right") - 1
@@ -66,6 +91,23 @@ class TestSuffixes:
         return np.where(self.vocabulary[at] == hashes, at + 1, 0)
 
 
+def _grouped(words: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of windows, the places of equal windows together and in order, and the bounds of
+    these groups; by keys that each hold as many words as fit."""
+    width = max(1, int(words.max(initial=0)).bit_length())
+    per_key, keys = 63 // width, []
+    for k in range(length):
+        if k % per_key == 0:
+            keys.append(np.zeros(len(starts), dtype=np.int64))
+        keys[-1] = (keys[-1] << width) | words[starts + k]
+    order = np.lexsort([starts, *keys])
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = False
+    for key in keys:
+        new[1:] |= key[order[1:]] != key[order[:-1]]
+    return starts[order].astype(np.int32), np.append(np.flatnonzero(new), len(order)).astype(np.int32)
+
+
 def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
     """Places in the order of the first ``depth`` words or more, by doubling. Zero words end a
     suffix; they are not in the array."""
@@ -151,8 +193,9 @@ def search(tests: TestSuffixes, texts: list[bytes]) -> tuple[np.ndarray, list, l
 
     reach = np.zeros(len(shard), dtype=np.int64)  # of the longest window that begins here
     group = np.zeros(len(shard), dtype=np.int64)
-    for k, (length, windows, starts, of) in enumerate(tests.windows):
-        low, high = ranges(shard, array, windows)
+    for k, (length, places, starts, of) in enumerate(tests.windows):
+        searched = [ranges(shard, array, rows) for _, rows in tests.blocks(length, places)]
+        low, high = (np.concatenate(ends) for ends in zip(*searched, strict=True))
         found = np.flatnonzero(high > low)
         counts = (high - low)[found]
         spots = array[
@@ -176,32 +219,33 @@ def search(tests: TestSuffixes, texts: list[bytes]) -> tuple[np.ndarray, list, l
         document = int(words.doc[place[first]])
         offset = int(place[first]) - first - int(bounds[document])
         hits[document].append((first + offset, last + offset))
-        p = first
-        while p < last:
+        furthest = 0
+        for p in range(first, last):
             if not reach[p]:
-                p += 1
                 continue
             _, _, starts, of = tests.windows[int(group[p]) >> 40]
             w = int(group[p]) & 0xFFFFFFFFFF
             length, start = _longest(tests, shard, p, starts[of[w] : of[w + 1]])
-            item = int(tests.item_of(np.array([start]))[0])
-            matches[document].append((p + offset, length, item, start - int(tests.first[item])))
-            # The next match has to reach further than this one.
-            p += max(1, length - int(reach[p]) + 1)
+            # A match is listed if it reaches further than all that begin before it.
+            if p + length > furthest:
+                furthest = p + length
+                item = int(tests.item_of(np.array([start]))[0])
+                matches[document].append((p + offset, length, item, start - int(tests.first[item])))
     return np.diff(bounds), hits, matches, items
 
 
-def _pass(documents: DataFrame, tests: TestSuffixes) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(tests)  # a slice: at most SLICE_BYTES
+def _pass(documents: DataFrame, tests: TestSuffixes) -> tuple[DataFrame, Broadcast]:
+    """What one slice finds, and what was sent to the executors for it."""
+    shared = documents.sparkSession.sparkContext.broadcast(tests.arrays)
     pair = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     match = pa.struct([(c, pa.int64()) for c in ("start", "length", "item_id", "item_start")])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tests = shared.value
+        tests = TestSuffixes(shared.value)
         for keys, texts in chunks(batches):
             n_words, hits, matches, items = search(tests, texts)
-            named = [[(s, n, tests.item_ids[i], j) for s, n, i, j in row] for row in matches]
-            ids = [sorted({tests.item_ids[i] for i in row} - {None}) for row in items]
+            named = [[(s, n, tests.item_ids[i][0], j) for s, n, i, j in row] for row in matches]
+            ids = [sorted({own for i in row for own in tests.item_ids[i]} - {None}) for row in items]
             fields = ("start", "length", "item_id", "item_start")
             yield pa.RecordBatch.from_arrays(
                 [
@@ -216,11 +260,37 @@ def _pass(documents: DataFrame, tests: TestSuffixes) -> DataFrame:
                 names=["key", "n_words", "hits", "matches", "items"],
             )
 
-    return documents.mapInArrow(
+    found = documents.mapInArrow(
         run,
         "key bigint, n_words bigint, hits array<struct<start: bigint, end: bigint>>, "
         f"matches {_MATCH}, items array<bigint>",
     )
+    return found, shared
+
+
+def _that_reach_further(matches: Column) -> Column:
+    """Of the matches of several slices, those that reach further than all that begin before them; of
+    those that begin together the longest, then the one of the least id and place."""
+    ordered = F.array_sort(
+        F.transform(
+            matches,
+            lambda m: F.struct(
+                m["start"].alias("start"), (-m["length"]).alias("shorter"), m["item_id"].alias("item_id"),
+                m["item_start"].alias("item_start"), m["length"].alias("length"),
+            ),
+        )
+    )
+    kept = F.filter(
+        ordered,
+        lambda m, i: (i == 0)
+        | (
+            m["start"] + m["length"]
+            > F.array_max(F.transform(F.slice(ordered, 1, i), lambda b: b["start"] + b["length"]))
+        ),
+    )
+    return F.transform(
+        kept, lambda m: F.struct(m["start"], m["length"], m["item_id"], m["item_start"])
+    ).cast(_MATCH)
 
 
 def _union_size(ranges_: Column) -> Column:
@@ -243,34 +313,39 @@ def contamination(
     """``doc_id, n_words, n_hit, items, matches, contaminated`` of every row of ``documents``.
 
     ``items`` are the ids of the test items of which a window occurs, ``matches`` the longest
-    verbatim matches (start, length, item_id, item_start; in words) that cover the hit words, from
-    left to right. Null and empty texts have no words and are clean; null and empty test texts
+    verbatim matches (start, length, item_id, item_start; in words): from each place on the longest,
+    if it reaches further than all that begin before it; from left to right. Null and empty texts have no words and are clean; null and empty test texts
     have no window; a test item without an id marks words, but isn't named. Rows with one doc_id
     are answered one by one. An empty benchmark leaves all clean; an empty table gives no rows.
     Only ``doc_id``, ``text`` and the benchmark's ``item_id``, ``text`` are read.
 
     The test texts are searched for in slices of bounded size: one pass over the documents for
-    each, of which the hits are put together. There is one slice for a benchmark of 8 MB.
+    each, one after another, of which the hits are put together. There is one slice for a benchmark
+    of 8 MB, and never more than one on the driver or an executor.
     """
     documents = documents.select("doc_id", "text")
     items = benchmark.select("item_id", "text")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = -(-size // slice_bytes) or 1
     if slices == 1:
-        found = _pass(documents, TestSuffixes(_collected(items))).withColumnRenamed("key", "doc_id")
+        found, _ = _pass(documents, TestSuffixes.of(_collected(items)))
+        found = found.withColumnRenamed("key", "doc_id")
     else:
         rows = materialize(
             documents.withColumn("row", F.monotonically_increasing_id()), "documents-with-rows"
         )
         of = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
-        passes = None
+        passes = []
         for k in range(slices):
-            one = _pass(rows.select("row", "text"), TestSuffixes(_collected(items.filter(of == k))))
-            passes = one if passes is None else passes.union(one)
-        together = passes.groupBy("key").agg(
+            tests = TestSuffixes.of(_collected(items.filter(of == k)))
+            one, shared = _pass(rows.select("row", "text"), tests)
+            passes.append(materialize(one, f"slice-{k}"))
+            shared.destroy()
+        together = reduce(DataFrame.unionByName, passes).groupBy("key").agg(
             F.max("n_words").alias("n_words"),
             *[F.flatten(F.collect_list(c)).alias(c) for c in ("hits", "matches", "items")],
         )
+        together = together.withColumn("matches", _that_reach_further(F.col("matches")))
         found = rows.select("row", "doc_id").join(together, rows["row"] == together["key"])
     return found.select(
         "doc_id",

@@ -119,12 +119,50 @@ def test_near_copies_of_edges(edges, nothing):
 def test_slices_of_a_benchmark_give_the_same(spark, documents):
     benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0]
-    columns = ("doc_id", "n_words", "n_hit", "items", "contaminated")
-    whole = decontam.contamination(documents, benchmark).select(*columns)
-    cut = decontam.contamination(documents, benchmark, slice_bytes=size // 3 + 1).select(*columns)
+    whole = decontam.contamination(documents, benchmark)
+    cut = decontam.contamination(documents, benchmark, slice_bytes=size // 3 + 1).select(*whole.columns)
     assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
 
 
+def test_matches_are_the_longest_whatever_the_slices(spark):
+    """Items that overlap in a text, copies of items, and matches inside of others; by plain loops."""
+    rng = np.random.RandomState(8)
+    words = [f"w{k}" for k in range(9)]
+    texts = [" ".join(rng.choice(words, 120)) for _ in range(12)]
+    items = []
+    for k in range(60):
+        own = texts[rng.randint(12)].split()
+        a, n = rng.randint(0, 80), rng.randint(3, 40)
+        items.append((k // 2, " ".join(own[a : a + n])))
+        items.append((None if k % 9 == 0 else 100 + k, items[rng.randint(len(items))][1]))
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    expected = {}
+    for doc_id, text in enumerate(texts):
+        own, best = text.split(), {}
+        for item_id, item in items:
+            item = item.split()
+            window = min(13, len(item))
+            for p in range(len(own)):
+                for j in range(len(item) - window + 1):
+                    n = 0
+                    while p + n < len(own) and j + n < len(item) and own[p + n] == item[j + n]:
+                        n += 1
+                    if n >= window:
+                        rank = (-n, item_id is not None, item_id or 0, j)
+                        best[p] = min(best.get(p, rank), rank)
+        listed, furthest = [], 0
+        for p, (n, there, item_id, j) in sorted(best.items()):
+            if p - n > furthest:
+                furthest = p - n
+                listed.append((p, -n, item_id if there else None, j))
+        expected[doc_id] = listed
+    assert max(map(len, expected.values())) > 3
+    for slice_bytes in (1 << 20, 400):
+        found = decontam.contamination(documents, benchmark, slice_bytes=slice_bytes).collect()
+        assert {r.doc_id: [tuple(m) for m in r.matches] for r in found} == expected
+
+
 def test_contamination_of_edges(spark, edges, nothing, as_table):
     words = "the cat sat on the mat and looked at the moon over the quiet harbour of the town"
     items = [(1, words), (2, "own words of seven"), (3, ""), (4, None), (None, "own words of five"), (5, words), (6, "the the " * 40)]
