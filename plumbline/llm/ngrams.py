@@ -10,9 +10,13 @@ the counts of the contexts say that they are equally large, within a frequent co
 
 from __future__ import annotations
 
+import mmap
 import os
+import sys
 import uuid
 from collections.abc import Iterable, Iterator
+from copy import copy
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +55,32 @@ def _save(path: str, name: str, shard: int, values: np.ndarray) -> None:
     os.replace(part, f"{path}/{name}-{shard}.npy")
 
 
-def _load(path: str, name: str, shards: int) -> list[np.ndarray]:
-    return [np.load(f"{path}/{name}-{k}.npy", mmap_mode="r") for k in range(shards)]
+# A mapped file needs no open one from Python 3.13 on, so that only the number of maps is bounded.
+_KEEPS_NO_FILE = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+MAPPED = 1024 if _KEEPS_NO_FILE else 64
+
+
+def _map(file: str) -> np.ndarray:
+    """The array of a file, mapped into memory."""
+    with open(file, "rb") as opened:
+        np.lib.format.read_magic(opened)
+        shape, _, kind = np.lib.format.read_array_header_1_0(opened)
+        if 0 in shape:
+            return np.empty(shape, kind)
+        data = mmap.mmap(opened.fileno(), 0, access=mmap.ACCESS_READ, **_KEEPS_NO_FILE)
+        return np.frombuffer(data, kind, int(np.prod(shape)), opened.tell()).reshape(shape)
+
+
+class Maps:
+    """The arrays of a folder. One is mapped when it is asked for, and those that were not used for
+    longest are let go, so that a worker keeps few files and maps, whatever the shards."""
+
+    def __init__(self, path: str):
+        self._path = path
+        self._map = lru_cache(maxsize=MAPPED)(_map)
+
+    def of(self, name: str, shard: int) -> np.ndarray:
+        return self._map(f"{self._path}/{name}-{shard}.npy")
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -137,30 +165,29 @@ class Vocabulary:
         return ((hashes >> np.uint64(32)) * np.uint64(self.shards) >> np.uint64(32)).astype(np.int64)
 
     def open(self) -> Vocabulary:
-        self.hashes, self.counts, self.running = (
-            _load(self.path, name, self.shards) for name in ("words", "counts", "running")
-        )
-        return self
+        """Also for reading its arrays."""
+        opened = copy(self)
+        opened.maps = Maps(self.path)
+        return opened
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Of sorted hashes; 0 for unknown words."""
         out = np.zeros(len(hashes), dtype=np.int64)
         edges = np.searchsorted(self.shard(hashes), np.arange(self.shards + 1))
         for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-            if b > a and len(self.hashes[k]):
-                at = np.searchsorted(self.hashes[k], hashes[a:b])
-                at = np.minimum(at, len(self.hashes[k]) - 1)
-                known = self.hashes[k][at] == hashes[a:b]
-                out[a:b] = np.where(known, at + 1 + self.first[k], 0)
+            if b > a and self.first[k + 1] > self.first[k]:
+                words = self.maps.of("words", k)
+                at = np.minimum(np.searchsorted(words, hashes[a:b]), len(words) - 1)
+                out[a:b] = np.where(words[at] == hashes[a:b], at + 1 + self.first[k], 0)
         return out
 
-    def look_up(self, arrays: list[np.ndarray], numbers: np.ndarray) -> np.ndarray:
-        """What ``arrays`` hold for sorted numbers; 0 for number 0."""
+    def look_up(self, name: str, numbers: np.ndarray) -> np.ndarray:
+        """What the arrays of a name hold for sorted numbers; 0 for number 0."""
         out = np.zeros(len(numbers), dtype=np.int64)
         edges = np.searchsorted(numbers, self.first + 1)
         for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
             if b > a:
-                out[a:b] = arrays[k][numbers[a:b] - 1 - self.first[k]]
+                out[a:b] = self.maps.of(name, k)[numbers[a:b] - 1 - self.first[k]]
         return out
 
 
@@ -187,10 +214,6 @@ def count_words(documents: DataFrame, path: str, shards: int) -> Vocabulary:
         .collect()  # a row for each shard
     )
     stored = {row["shard"]: row for row in rows}
-    for shard in set(range(shards)) - stored.keys():
-        np.save(f"{path}/words-{shard}.npy", np.empty(0, "<u8"))
-        for name in ("counts", "running"):
-            np.save(f"{path}/{name}-{shard}.npy", np.empty(0, np.int64))
     return Vocabulary(
         path,
         [stored[k]["n"] if k in stored else 0 for k in range(shards)],
@@ -243,8 +266,8 @@ def _shard_of(vocabulary: Vocabulary, starts: int, shards: int, keys: np.ndarray
     """Shards of sorted keys: equal shares of all tokens, by the counts of their contexts."""
     context = (keys >> np.uint64(32)).astype(np.int64)
     unique, place = np.unique(context, return_inverse=True)
-    size = np.where(unique > 0, vocabulary.look_up(vocabulary.counts, unique), starts)
-    at = vocabulary.look_up(vocabulary.running, unique)
+    size = np.where(unique > 0, vocabulary.look_up("counts", unique), starts)
+    at = vocabulary.look_up("running", unique)
     of = np.searchsorted(vocabulary.first + 1, unique, side="right") - 1
     before = np.where(unique > 0, starts + at + vocabulary.before[np.maximum(of, 0)], 0)
     inside = (keys & np.uint64(0xFFFFFFFF)).astype(np.float64) / (vocabulary.size + 1)
@@ -332,40 +355,33 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.vocabulary = model, model.vocabulary.open()
-        path, v = self.vocabulary.path, self.vocabulary
-
-        def load(name: str) -> list[np.ndarray]:
-            return [np.load(f"{path}/{name}-{k}.npy", mmap_mode="r") for k in model.pair_shards]
-
-        self.pairs, self.counts = load("pairs"), load("pair-counts")
-        self.contexts, self.follow = load("contexts"), load("follow")
-        self.before = [
-            np.load(f"{path}/before-{k}.npy", mmap_mode="r")
-            if v.first[k + 1] > v.first[k]
-            else np.empty(0, "<u4")
-            for k in range(v.shards)
-        ]
+        self._maps = self.vocabulary.maps
+        self._keys = [np.array(side, dtype=np.uint64) for side in (model.first_key, model.last_key)]
+        self._contexts = [(side >> np.uint64(32)).astype(np.int64) for side in self._keys]
+
+    def _parts(self, values: np.ndarray, ends: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+        """Shards that some of the sorted values may lie in, and which these are."""
+        low = np.searchsorted(values, ends[0])
+        high = np.searchsorted(values, ends[1], side="right")
+        for k in np.flatnonzero(high > low).tolist():
+            yield self.model.pair_shards[k], int(low[k]), int(high[k])
 
     def _pair_counts(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), dtype=np.int64)
-        for k, (pairs, counts) in enumerate(zip(self.pairs, self.counts, strict=True)):
-            a = np.searchsorted(keys, np.uint64(self.model.first_key[k]))
-            b = np.searchsorted(keys, np.uint64(self.model.last_key[k]), side="right")
-            if b > a:
-                at = np.searchsorted(pairs, keys[a:b])
-                out[a:b] = np.where(pairs[at] == keys[a:b], counts[at], 0)
+        for shard, a, b in self._parts(keys, self._keys):
+            pairs, counts = self._maps.of("pairs", shard), self._maps.of("pair-counts", shard)
+            at = np.searchsorted(pairs, keys[a:b])
+            out[a:b] = np.where(pairs[at] == keys[a:b], counts[at], 0)
         return out
 
     def _weights(self, contexts: np.ndarray) -> np.ndarray:
         """Discounted mass after sorted contexts; a frequent context lies in several shards."""
         out = np.zeros(len(contexts))
-        for known, follow in zip(self.contexts, self.follow, strict=True):
-            a = np.searchsorted(contexts, known[0])
-            b = np.searchsorted(contexts, known[-1], side="right")
-            if b > a:
-                at = np.searchsorted(known, contexts[a:b])
-                mass = self.model.pair_discounts @ follow[:, at]
-                out[a:b] += np.where(known[at] == contexts[a:b], mass, 0.0)
+        for shard, a, b in self._parts(contexts, self._contexts):
+            known, follow = self._maps.of("contexts", shard), self._maps.of("follow", shard)
+            at = np.searchsorted(known, contexts[a:b])
+            mass = self.model.pair_discounts @ follow[:, at]
+            out[a:b] += np.where(known[at] == contexts[a:b], mass, 0.0)
         return out
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -374,8 +390,8 @@ class Scorer:
         context, word, numbers, place, doc = _pairs(v, texts)
         order = np.argsort(numbers, kind="stable")
         count, before = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
-        count[order] = v.look_up(v.counts, numbers[order])
-        before[order] = v.look_up(self.before, numbers[order])
+        count[order] = v.look_up("counts", numbers[order])
+        before[order] = v.look_up("before", numbers[order])
         base = np.log10((count + 0.5) / (v.total + 0.5 * (v.size + 1)))[place]
         less = np.concatenate([[0.0], model.word_discounts])[np.minimum(before, 3)]
         lower = (before - less) / max(1, model.total_pairs) + model.rest / (v.size + 1)
@@ -386,7 +402,7 @@ class Scorer:
         together = np.zeros(len(word), dtype=np.int64)
         together[both] = self._pair_counts(unique)[at]
         contexts, at = np.unique(context, return_inverse=True)
-        total = v.look_up(v.counts, np.maximum(contexts, 0))
+        total = v.look_up("counts", np.maximum(contexts, 0))
         total = np.where(contexts == 0, model.starts, total)[at]
         mass = self._weights(contexts)[at]
         less = np.concatenate([[0.0], model.pair_discounts])[np.minimum(together, 3)]
