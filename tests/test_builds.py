@@ -254,3 +254,29 @@ def test_a_run_logs_what_it_built_and_a_repeat_that_differs(spark, tmp_path, mon
     monkeypatch.setattr(daily_run.marts, "fact_shipments", lambda items: build(items).withColumn("market", moved))
     daily_run.run(spark, path, warehouse.root, **go | {"run_id": "r2"})
     assert "fact_shipments differs from that of run r1" in caplog.text
+
+
+def test_alerts_are_sent_once_and_a_failed_one_again(spark, tmp_path, caplog):
+    rows = seed.rows()
+    rows[0] |= {"Order Item Quantity": "0"}
+    rows[2] |= {"shipping date (DateOrders)": "1/1/2016 09:30"}
+    path = seed.write_csv(tmp_path / "a.csv", rows)
+    warehouse, told, broken = str(tmp_path / "warehouse"), [], {"assert_no_negative_shipping_quantity"}
+
+    def notify(alert):
+        if alert.check_name in broken:
+            raise OSError("no network")
+        told.append((alert.run_id, alert.check_name))
+
+    def go(run_id):
+        return daily_run.run(
+            spark, path, warehouse, run_id=run_id, run_at=DAY, expected_rows=50, notify=notify
+        )
+
+    late, negative = "assert_ship_date_after_order_date", "assert_no_negative_shipping_quantity"
+    assert go("r1") == daily_run.HALTED and told == [("r1", late)]
+    assert "could not be sent" in caplog.text
+    broken.clear()
+    assert go("r1") == daily_run.HALTED and told == [("r1", late), ("r1", negative)]
+    assert go("r1") == daily_run.HALTED and len(told) == 2
+    assert go("r2") == daily_run.HALTED and set(told[2:]) == {("r2", late), ("r2", negative)}
