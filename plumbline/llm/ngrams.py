@@ -356,7 +356,9 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.vocabulary = model, model.vocabulary.open()
         self._maps = self.vocabulary.maps
-        self._keys = [np.array(side, dtype=np.uint64) for side in (model.first_key, model.last_key)]
+        stored = len(model.pair_shards)  # none for a model of no text
+        sides = (model.first_key[:stored], model.last_key[:stored])
+        self._keys = [np.array(side, dtype=np.uint64) for side in sides]
         self._contexts = [(side >> np.uint64(32)).astype(np.int64) for side in self._keys]
 
     def _parts(self, values: np.ndarray, ends: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
