@@ -54,28 +54,55 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library has written; nothing happens where there is none."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
+    files, hadoop = _files(spark, path)
+    files.delete(hadoop, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """End a swap that was cut short: the table at ``path`` is then the new one if it was whole, and
+    else the old one, and nothing else of it is left. For tables that nobody else is writing."""
+    files, hadoop = _files(spark, path)
+    folder = hadoop.getParent()
+    names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+    left = {
+        kind: [f"{folder}/{name}" for name in names if name.startswith(f"{hadoop.getName()}.{kind}-")]
+        for kind in ("new", "old")
+    }
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    if not files.exists(hadoop):
+        whole = [new for new in left["new"] if files.exists(path_of(f"{new}/_SUCCESS"))]
+        for candidate in (whole if left["old"] else []) + left["old"]:
+            if files.rename(path_of(candidate), hadoop):
+                break
+    for rest in left["new"] + left["old"]:
+        files.delete(path_of(rest), True)
 
 
 def write_then_swap(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Put ``df`` in place of the table at ``path``, which stays as it is until the new one is
-    whole; ``df`` may read it."""
+    whole; ``df`` may read it. A process that ends between the two renames leaves no table there
+    until ``recover`` puts one back."""
     spark = df.sparkSession
     new, old = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files, hadoop = _files(spark, path)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
     try:
         writer.parquet(new)
     except Exception:
-        files.delete(hadoop(new), True)
+        files.delete(path_of(new), True)
         raise
-    if files.exists(hadoop(path)) and not files.rename(hadoop(path), hadoop(old)):
+    if files.exists(hadoop) and not files.rename(hadoop, path_of(old)):
         raise OSError(f"{path} cannot be moved")
-    if not files.rename(hadoop(new), hadoop(path)):
-        files.rename(hadoop(old), hadoop(path))
+    if not files.rename(path_of(new), hadoop):
+        files.rename(path_of(old), hadoop)
         raise OSError(f"{new} cannot be moved to {path}")
-    files.delete(hadoop(old), True)
+    files.delete(path_of(old), True)

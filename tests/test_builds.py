@@ -12,6 +12,7 @@ import seed
 from plumbline.operators import checks, fingerprint, health, latest, profile
 from plumbline.operators.watch import Watch
 from plumbline.plans import check_catalog, daily_run, ingest
+from plumbline.session import recover, write_then_swap
 from plumbline.sources import history, run_results, snapshots
 from plumbline.sources.contracts import Contract, shipment_contract
 
@@ -280,3 +281,19 @@ def test_alerts_are_sent_once_and_a_failed_one_again(spark, tmp_path, caplog):
     assert go("r1") == daily_run.HALTED and told == [("r1", late), ("r1", negative)]
     assert go("r1") == daily_run.HALTED and len(told) == 2
     assert go("r2") == daily_run.HALTED and set(told[2:]) == {("r2", late), ("r2", negative)}
+
+
+@pytest.mark.parametrize("step", ["whole new table", "half of a new table", "moved away", "half, moved away"])
+def test_a_swap_that_was_cut_short_is_ended(spark, tmp_path, step):
+    path = tmp_path / "table"
+    write_then_swap(spark.range(3), str(path))
+    spark.range(5).write.parquet(str(tmp_path / "table.new-1"))
+    if "half" in step:
+        (tmp_path / "table.new-1" / "_SUCCESS").unlink()
+    if "moved away" in step or "half, moved" in step:
+        path.rename(tmp_path / "table.old-1")
+    recover(spark, str(path))
+    assert spark.read.parquet(str(path)).count() == (5 if step == "moved away" else 3)
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
+    recover(spark, str(tmp_path / "none" / "table"))
+    assert not (tmp_path / "none").exists()
