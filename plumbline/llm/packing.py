@@ -26,7 +26,7 @@ END_ID = 1
 # A task closes its windows after so many tokens; its memory does not grow with its input.
 ROUND_TOKENS = 1 << 22
 # Pieces of text whose ids a worker remembers.
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 500_000
 # New pieces that are encoded as one text.
 JOINED_PIECES = 200
 
@@ -74,14 +74,16 @@ class Encoder:
         split = [self._pieces(text) for text in texts]
         if len(self._number) > CACHED_PIECES:
             self._clear()
+        pieces = np.array([len(own) for own in split])
         flat = np.fromiter(
-            map(self._number.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split))
+            map(self._number.__getitem__, chain.from_iterable(split)), np.int64, int(pieces.sum())
         )
+        del split
         self._learn(self._number.take_new())
         sizes = self._sizes[flat]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = self._ids[np.arange(ends[-1]) + np.repeat(self._starts[flat] - ends[:-1], sizes)]
-        cuts = ends[np.cumsum([len(pieces) for pieces in split])]
+        cuts = ends[np.cumsum(pieces)]
         return np.split(ids, cuts[:-1])
 
     def _learn(self, pieces: list[str]) -> None:
