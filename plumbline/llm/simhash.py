@@ -11,7 +11,7 @@ and fingerprints that name one value are linked.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
 from plumbline.llm.registry import query, table
+from plumbline.llm.shingles import sets, sketches
 from plumbline.llm.text import chunks
 from plumbline.session import materialize
 
@@ -29,6 +30,12 @@ SEGMENT_BITS = 4
 SEGMENTS = 64 // SEGMENT_BITS
 # Shingles whose bits are counted at once.
 COUNTED = 1 << 16
+# Of near copies: the least Jaccard similarity of their shingles, in tenths.
+TENTHS = 8
+# Texts that a text is compared to, where those of its bands are not all similar.
+ORDERS = 16
+# Texts compared to one text in one task.
+COMPARED = 64
 
 
 def fingerprint(text: bytes) -> int:
@@ -178,21 +185,132 @@ def near_copies(documents: DataFrame) -> DataFrame:
     return rows.join(classes, "bits").select("doc_id", "bits", "component_id")
 
 
+def _starred(entries: DataFrame, orders: int = 1) -> DataFrame:
+    """(a, b): each node of (at, node) with the first node at the same value. Nodes have so many
+    orders, one for each value; in the only order, of one, the least comes first."""
+    order = F.xxhash64("node", F.pmod("at", F.lit(orders))) if orders > 1 else F.col("node")
+    first = (
+        entries.groupBy("at")
+        .agg(F.min_by("node", order).alias("b"), F.min("node").alias("x"), F.max("node").alias("y"))
+        .filter("x <> y")
+        .select("at", "b")
+    )
+    return entries.join(first, "at").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
+
+
+def _at_bands(nodes: DataFrame) -> DataFrame:
+    """(at, node): the bands of a node, whose keys hold the number of the band."""
+    return nodes.select(F.explode("bands").alias("at"), "node")
+
+
+def _at_rare_shingles(shingles: DataFrame) -> DataFrame:
+    """(at, node) of (node, shingles): the rarest shingles of a node, as many as it cannot lack in
+    common with a similar one. Rare is what few of these nodes hold."""
+    held = shingles.select("node", F.explode("shingles").alias("at"))
+    counts = held.groupBy("at").agg(F.count("*").alias("nodes"))
+    n = F.size("ordered")
+    prefix = n - F.ceil(F.lit(TENTHS) * n / 10).cast("int") + 1
+    return (
+        held.join(counts, "at")
+        .groupBy("node")
+        .agg(F.sort_array(F.collect_list(F.struct("nodes", "at"))).alias("ordered"))
+        .select("node", F.explode(F.slice("ordered", F.lit(1), prefix)).alias("rare"))
+        .filter("rare.nodes > 1")
+        .select("rare.at", "node")
+    )
+
+
+def _judged(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
+    """(a, b, similar): whether two nodes share enough of their shingles.
+
+    A node that very many are compared to is dealt to several tasks, each with its shingles.
+    """
+    parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / COMPARED).cast("int").alias("parts"))
+    ones = pairs.join(shingles.toDF("a", "x"), "a").join(parts, "b")
+    others = shingles.toDF("b", "y").join(parts, "b")
+    others = others.select("b", "y", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    both = F.size(F.array_intersect("x", "y"))
+    # Jaccard similarity, in whole numbers.
+    similar = (TENTHS + 10) * both >= TENTHS * (F.size("x") + F.size("y"))
+    return (
+        ones.withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
+        .join(others, ["b", "part"])
+        .select("a", "b", similar.alias("similar"))
+    )
+
+
+def similar_texts(nodes: DataFrame, shingles_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(a, b): links of nodes (node, bits, bands) whose five-word shingles have a Jaccard similarity
+    of 0.8 or more, each verified on the shingles. ``shingles_of`` gives (node, shingles) for the
+    nodes that it is asked for.
+
+    Candidates are fingerprints within two bits, by the grid, and texts that agree in a band of
+    minima: at a similarity of 0.8 fingerprints are some ten bits apart, which no grid of bit counts
+    tells from chance. Texts of one band are compared to one of them. Where that one is not similar
+    to all, as where they only share a passage, those of its bands are compared once more, by the
+    rarest of their shingles: similar texts have one of these in common. They are then compared to
+    up to ORDERS of the texts around them. A link is lost if its texts differ in all bands, or if
+    none of those that they are compared to is similar to both; not by the size of a group.
+    """
+    alike = nodes.groupBy("bits").agg(F.min("node").alias("node"))
+    pairs = (
+        _starred(_at_bands(nodes))
+        .union(_starred(nodes.select(F.col("bits").alias("at"), "node")))
+        .union(links(alike))
+        .distinct()
+    )
+    pairs = materialize(pairs, "near-candidates")
+    judged = materialize(
+        _judged(pairs, shingles_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))),
+        "near-judged",
+    )
+    found = judged.filter("similar").select("a", "b")
+    mixed = judged.filter("not similar").select("b").distinct()
+    left = judged.join(mixed, "b", "left_semi").select(F.col("a").alias("node"))
+    shingles = shingles_of(left)
+    again = _starred(_at_rare_shingles(shingles), ORDERS).join(judged, ["a", "b"], "left_anti")
+    again = materialize(again, "near-candidates")
+    return found.union(_judged(again, shingles).filter("similar").select("a", "b"))
+
+
 def one_of_each_group(documents: DataFrame) -> DataFrame:
-    """One row of ``documents`` of each component, all columns as they are: that with the smallest
-    doc_id, and of several with this doc_id the one of least hash of id and text. Rows are picked by
-    id and text, so that rows that share an id, or have none, are copies of each other only if
-    their texts are. Texts without words have one fingerprint and so are copies of each other."""
+    """One row of ``documents`` of each group of near copies, all columns as they are: that with the
+    smallest doc_id, and of several with this doc_id the one of least hash of id and text.
+
+    Texts are linked if their sets of five-word shingles have a Jaccard similarity of 0.8 or more
+    (see ``similar_texts``), or the same words in the same order; groups are reached by links. Texts
+    that are null, empty or without words are copies of each other; one to four words are one
+    shingle. Rows are picked by id and text, so that rows that share an id, or have none, are
+    copies of each other only if their texts are. An empty table gives no rows.
+    """
     row = F.xxhash64("doc_id", "text")
-    rows = documents.select(row.alias("_row"), "doc_id", "text")
-    group = near_copies(rows.select(F.col("_row").alias("doc_id"), "text"))
-    ids = rows.select("_row", "doc_id").distinct()
+    texts = documents.select(row.alias("key"), "doc_id", "text")
+    rows = materialize(sketches(texts), "sketches")
+    ids = texts.select("key", "doc_id").distinct()
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    # Copies are one node, and their least row stands for them.
+    nodes = materialize(
+        rows.groupBy("key")
+        .agg(*[F.first(c).alias(c) for c in ("node", "bits", "bands")])
+        .join(ids, "key")
+        .groupBy("node")
+        .agg(F.min(first).alias("least"), *[F.first(c).alias(c) for c in ("bits", "bands")]),
+        "near-nodes",
+    )
+
+    def shingles_of(asked: DataFrame) -> DataFrame:
+        keys = nodes.join(asked.distinct(), "node", "left_semi").select(F.col("least.key").alias("key"), "node")
+        found = sets(texts.join(keys, "key").select(F.col("node").alias("key"), "text"))
+        # Rows that agree in id and text are several rows of one node.
+        once = found.groupBy("key").agg(F.first("shingles").alias("shingles"))
+        return materialize(once, "near-shingles").toDF("node", "shingles")
+
+    edges = similar_texts(nodes.select("node", "bits", "bands"), shingles_of)
     chosen = (
-        group.select(F.col("doc_id").alias("_row"), "component_id")
-        .distinct()
-        .join(ids, "_row")
-        .groupBy("component_id")
-        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_kept"))
+        nodes.select("node", "least")
+        .join(components(edges), "node", "left")
+        .groupBy(F.coalesce("component", "node").alias("component"))
+        .agg(F.min("least")["key"].alias("_kept"))
         .select("_kept")
     )
     columns = documents.columns
