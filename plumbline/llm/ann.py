@@ -73,7 +73,8 @@ def walk(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, wanted: int)
 
 
 def valid(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding: array<double>) rows that take part."""
+    """(row, vec_id, embedding: array<double>) of the rows that take part. ``row`` numbers them, once
+    they are written."""
     finite = F.forall(
         "embedding",
         lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))),
@@ -82,8 +83,7 @@ def valid(vectors: DataFrame) -> DataFrame:
         vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
         .filter(F.col("vec_id").isNotNull() & finite)
         .filter(F.exists("embedding", lambda x: x != 0))
-        .groupBy("vec_id")
-        .agg(F.min("embedding").alias("embedding"))
+        .select(F.monotonically_increasing_id().alias("row"), "vec_id", "embedding")
     )
 
 
@@ -108,11 +108,11 @@ def nearest(vectors: DataFrame, candidates: int | None = None, k: int = NEAREST)
 
     A query looks at ``candidates`` vectors; if none are given, at SHARE of those that are indexed
     and CANDIDATES at least, so that recall does not fall with their number.
-    Nearest is the largest inner product; ties go to the smaller vec_id; a vector is no candidate
+    Nearest is the largest inner product; ties go to the smaller vec_id; a row is no candidate
     of its own query. Vectors that are null, zero, or hold a null or non-finite component take no
-    part; nor do rows without a vec_id and vectors of another length than most. Of rows with one
-    vec_id the least vector counts. Of equal vectors the k + 1 smallest ids are searched, as no
-    others can be among the nearest. Fewer candidates than k are all returned; an empty table
+    part; nor do rows without a vec_id and vectors of another length than most. Rows that share a
+    vec_id are queries and candidates one by one. Of equal vectors the k + 1 smallest ids are
+    searched, as no others can be among the nearest. Fewer candidates than k are all returned; an empty table
     gives no rows. Only ``vec_id`` and ``embedding`` are read.
     """
     spark = vectors.sparkSession
@@ -124,10 +124,10 @@ def nearest(vectors: DataFrame, candidates: int | None = None, k: int = NEAREST)
         return empty
     length, half = most["n"], most["n"] // 2
     rows = rows.filter(F.size("embedding") == length)
-    same = Window.partitionBy("embedding").orderBy("vec_id")
+    same = Window.partitionBy("embedding").orderBy("vec_id", "row")
     indexed = rows.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1)
 
-    drawn = least_hashed(rows, ["vec_id"], SAMPLE).select("embedding").toArrow()
+    drawn = least_hashed(rows, ["vec_id", "embedding"], SAMPLE).select("embedding").toArrow()
     sample = _matrix(drawn.column("embedding").combine_chunks())
     n = int(np.clip(np.sqrt(most["count"] / CELL), 1, MOST_CENTROIDS))
     left, right = centroids(sample[:, :half], n), centroids(sample[:, half:], n)
@@ -136,15 +136,15 @@ def nearest(vectors: DataFrame, candidates: int | None = None, k: int = NEAREST)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(1))
+            x = _matrix(batch.column(2))
             cell = closest(x[:, :half], left) * n + closest(x[:, half:], right)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cell, pa.int64()), *batch.columns], names=["cell", "vec_id", "embedding"]
+                [pa.array(cell, pa.int64()), *batch.columns], names=["cell", "row", "vec_id", "embedding"]
             )
 
     entries = materialize(
-        indexed.select("vec_id", "embedding").mapInArrow(
-            assign, "cell bigint, vec_id bigint, embedding array<double>"
+        indexed.select("row", "vec_id", "embedding").mapInArrow(
+            assign, "cell bigint, row bigint, vec_id bigint, embedding array<double>"
         ),
         "cells",
     )
@@ -161,7 +161,7 @@ def nearest(vectors: DataFrame, candidates: int | None = None, k: int = NEAREST)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(1))
+            x = _matrix(batch.column(2))
             firsts, seconds = x[:, :half] @ left.T, x[:, half:] @ right.T
             for start in range(0, len(x), 64):
                 rows = []
@@ -178,20 +178,23 @@ def nearest(vectors: DataFrame, candidates: int | None = None, k: int = NEAREST)
                         pa.array([True] * len(at)),
                         batch.column(0).take(pa.array(at)),
                         batch.column(1).take(pa.array(at)),
+                        batch.column(2).take(pa.array(at)),
                         pa.array(inside, pa.list_(pa.int32())),
                     ],
-                    names=["unit", "part", "asks", "id", "embedding", "cells"],
+                    names=["unit", "part", "asks", "row", "id", "embedding", "cells"],
                 )
 
     asking = rows.filter(F.col("vec_id") % 20 == 0).mapInArrow(
         probe,
-        "unit bigint, part int, asks boolean, id bigint, embedding array<double>, cells array<int>",
+        "unit bigint, part int, asks boolean, row bigint, id bigint, embedding array<double>, "
+        "cells array<int>",
     )
     n_parts = F.get(F.array(*[F.lit(int(p)) for p in parts]), F.col("unit").cast("int"))
     held = entries.withColumn("unit", F.floor(F.col("cell") / n)).select(
         "unit",
-        F.pmod(F.xxhash64("vec_id"), n_parts).cast("int").alias("part"),
+        F.pmod(F.xxhash64("row"), n_parts).cast("int").alias("part"),
         F.lit(False).alias("asks"),
+        "row",
         F.col("vec_id").alias("id"),
         "embedding",
         F.array((F.col("cell") % n).cast("int")).alias("cells"),
@@ -205,47 +208,53 @@ def nearest(vectors: DataFrame, candidates: int | None = None, k: int = NEAREST)
                 continue
             units, numbers = np.array(batch.column(0)), np.array(batch.column(1))
             asks = np.array(batch.column(2).cast(pa.int8()))
-            keys, x = np.array(batch.column(3)), _matrix(batch.column(4))
-            bounds = np.array(batch.column(5).offsets)
-            cells = np.array(batch.column(5).values)
+            row, keys = np.array(batch.column(3)), np.array(batch.column(4))
+            x, bounds = _matrix(batch.column(5)), np.array(batch.column(6).offsets)
+            cells = np.array(batch.column(6).values)
             change = (np.diff(units) != 0) | (np.diff(numbers) != 0) | (np.diff(asks) != 0)
             edges = [0, *(np.flatnonzero(change) + 1).tolist(), len(units)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if now != (units[a], numbers[a]):
                     now, stored, unit = (units[a], numbers[a]), [], None
                 if not asks[a]:
-                    stored.append((keys[a:b], x[a:b], cells[bounds[a] : bounds[b]]))
+                    stored.append((row[a:b], keys[a:b], x[a:b], cells[bounds[a] : bounds[b]]))
                     continue
                 if not stored:
                     continue
-                unit = unit or tuple(map(np.concatenate, zip(*stored, strict=True)))
+                if unit is None:
+                    unit = list(map(np.concatenate, zip(*stored, strict=True)))
+                    order = np.lexsort((unit[0], unit[1]))
+                    unit = [part[order] for part in unit]
                 for c in range(a, b, 64):
                     d = min(c + 64, b)
                     sees = np.zeros((d - c, n), dtype=bool)
                     widths = np.diff(bounds[c : d + 1])
                     sees[np.repeat(np.arange(d - c), widths), cells[bounds[c] : bounds[d]]] = True
-                    some = np.flatnonzero(sees.any(axis=0)[unit[2]])
+                    some = np.flatnonzero(sees.any(axis=0)[unit[3]])
                     own = unit[0][some]
                     # einsum adds up every pair alike, so that equal vectors tie exactly.
-                    scores = np.einsum("qd,vd->qv", x[c:d], unit[1][some])
-                    scores[~sees[:, unit[2][some]] | (keys[c:d, None] == own)] = -np.inf
-                    at, best = best_of(scores, own, k)
+                    scores = np.einsum("qd,vd->qv", x[c:d], unit[2][some])
+                    scores[~sees[:, unit[3][some]] | (row[c:d, None] == own)] = -np.inf
+                    # In the order of ids, and of rows of one id.
+                    at, best = best_of(scores, np.arange(len(some)), k)
                     yield pa.RecordBatch.from_arrays(
                         [
+                            pa.array(row[c:d][at], pa.int64()),
                             pa.array(keys[c:d][at], pa.int64()),
                             pa.array(own[best], pa.int64()),
+                            pa.array(unit[1][some][best], pa.int64()),
                             pa.array(scores[at, best], pa.float64()),
                         ],
-                        names=["query_id", "vec_id", "score"],
+                        names=["asker", "query_id", "row", "vec_id", "score"],
                     )
 
     found = (
         held.union(asking)
         .repartition("unit", "part")
         .sortWithinPartitions("unit", "part", "asks")
-        .mapInArrow(rank, "query_id bigint, vec_id bigint, score double")
+        .mapInArrow(rank, "asker bigint, query_id bigint, row bigint, vec_id bigint, score double")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("asker").orderBy(F.desc("score"), "vec_id", "row")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)

@@ -293,9 +293,13 @@ def test_neighbours_of_edges(spark):
     rows += [(40, [0.0], 1), (60, [1.0, 1.0, 1.0], 1), (None, [1.0, 1.0], 1)]
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, rank int")
     found = sorted(tuple(r) for r in ann.nearest(vectors).collect())
-    second = pytest.approx(0.4)
-    assert [r[:3] for r in found] == [(0, 1, 1), (0, 2, 20), (0, 3, 2), (20, 1, 0), (20, 2, 1), (20, 3, 2)]
-    assert found[2][3] == second
+    ids = {0: [1, 20, 2, 2], 20: [0, 1, 2, 2]}
+    assert [r[:3] for r in found] == [(q, k + 1, v) for q in (0, 20) for k, v in enumerate(ids[q])]
+    assert [r[3] for r in found[:4]] == pytest.approx([1.0, 1.0, 0.5, 0.4])
+    # Rows that share the id of a query are no rows of its own.
+    shared = spark.createDataFrame([(20, [0.9, 0.0]), (20, [0.1, 0.0]), (1, [0.5, 0.0])], "vec_id bigint, embedding array<double>")
+    found = sorted((r.query_id, r["rank"], round(r.score, 2), r.vec_id) for r in ann.nearest(shared).collect())
+    assert found == [(20, 1, 0.09, 20), (20, 1, 0.45, 1), (20, 2, 0.05, 1), (20, 2, 0.09, 20)]
     assert ann.nearest(vectors.limit(0)).count() == 0
 
 
