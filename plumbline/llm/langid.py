@@ -33,6 +33,8 @@ UNKNOWN = "und"
 MIN_SCORE = 0.3
 # Runs that a worker remembers with their sums.
 CACHED_RUNS = 400_000
+# Bytes of text that are looked at together; hashing them takes some 40 bytes for each.
+READ_BYTES = 1 << 20
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -271,7 +273,7 @@ def identify(documents: DataFrame, network: Network | None) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = kept(f"runs of {digest}", lambda: _Known(network)) if network else None
-        for keys, texts in chunks(batches):
+        for keys, texts in chunks(batches, READ_BYTES):
             n = len(texts)
             lettered = np.array([any(map(str.isalpha, t.decode())) for t in texts], dtype=bool)
             pooled = np.zeros((n, 2 * len(languages)))

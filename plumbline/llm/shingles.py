@@ -18,6 +18,8 @@ SHINGLE = 5
 # Two sets of similarity s agree in a band with probability s ** ROWS, so that at 0.8 all bands
 # differ for one pair in 580.
 BANDS, ROWS = 16, 5
+# Bytes of text that are looked at together.
+READ_BYTES = 1 << 20
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.RandomState(11)
@@ -88,7 +90,7 @@ def sketches(rows: DataFrame) -> DataFrame:
     """(key, node, bits, bands) for (key: bigint, text); texts without words have no bands."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts in chunks(batches):
+        for keys, texts in chunks(batches, READ_BYTES):
             nodes, bits, bands = sketch(texts)
             some = [bool(text.split()) for text in texts]
             yield pa.RecordBatch.from_arrays(
@@ -113,7 +115,7 @@ def sets(rows: DataFrame) -> DataFrame:
     """(key, shingles) for (key: bigint, text): the different shingles, as 64-bit hashes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts in chunks(batches):
+        for keys, texts in chunks(batches, READ_BYTES):
             values, bounds, _ = hashes_of(texts)
             values = values.view(np.int64)
             found = [np.unique(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]

@@ -33,7 +33,9 @@ def kept(name: str, make: Callable[[], object]) -> object:
     """
     holder = sys.modules.setdefault("_plumbline_kept", ModuleType("_plumbline_kept"))
     if getattr(holder, "name", None) != name:
-        holder.name, holder.value = name, make()
+        holder.name = holder.value = None  # goes before the new one comes
+        holder.value = make()
+        holder.name = name
     return holder.value
 
 
