@@ -252,11 +252,13 @@ def similar_texts(nodes: DataFrame, shingles_of: Callable[[DataFrame], DataFrame
     up to ORDERS of the texts around them. A link is lost if its texts differ in all bands, or if
     none of those that they are compared to is similar to both; not by the size of a group.
     """
-    alike = nodes.groupBy("bits").agg(F.min("node").alias("node"))
+    # One after the other: the grid's entries are many and take the memory of a job of their own.
+    alike = materialize(nodes.groupBy("bits").agg(F.min("node").alias("node")), "fingerprint-classes")
+    near = materialize(links(alike), "near-fingerprints")
     pairs = (
         _starred(_at_bands(nodes))
         .union(_starred(nodes.select(F.col("bits").alias("at"), "node")))
-        .union(links(alike))
+        .union(near)
         .distinct()
     )
     pairs = materialize(pairs, "near-candidates")
