@@ -56,12 +56,24 @@ class Encoder:
         sizes |= {n: len(content.encode()) for n, content in special.items()}
         self._bytes = np.zeros(max(sizes) + 1, dtype=np.int64)
         self._bytes[list(sizes)] = list(sizes.values())
-        self._clear()
-
-    def _clear(self) -> None:
         self._number = _Numbers()
         self._ids = np.empty(0, dtype="<u4")
-        self._starts = self._sizes = np.empty(0, dtype=np.int64)
+        self._starts = self._sizes = self._used = np.empty(0, dtype=np.int64)
+
+    def _forget(self) -> None:
+        """Keep the pieces that were met more than once lately: no more than half, the most used.
+
+        Words that a text has for itself go, and the frequent ones need not be encoded again.
+        """
+        keep = np.argsort(-self._used, kind="stable")[: CACHED_PIECES // 2]
+        keep = np.sort(keep[self._used[keep] > 1])
+        known = list(self._number)
+        self._number = _Numbers()
+        self._number.update((known[k], n) for n, k in enumerate(keep.tolist()))
+        sizes, starts = self._sizes[keep], self._starts[keep]
+        ends = np.cumsum(sizes)
+        self._ids = self._ids[np.arange(sizes.sum()) + np.repeat(starts - (ends - sizes), sizes)]
+        self._starts, self._sizes, self._used = ends - sizes, sizes, self._used[keep] // 2
 
     def _pieces(self, text: str) -> list[str]:
         # Regular texts have one blank or line break between words and no other white space.
@@ -73,13 +85,14 @@ class Encoder:
         """The ids of each text, by one pass over the pieces of all."""
         split = [self._pieces(text) for text in texts]
         if len(self._number) > CACHED_PIECES:
-            self._clear()
+            self._forget()
         pieces = np.array([len(own) for own in split])
         flat = np.fromiter(
             map(self._number.__getitem__, chain.from_iterable(split)), np.int64, int(pieces.sum())
         )
         del split
         self._learn(self._number.take_new())
+        self._used += np.bincount(flat, minlength=len(self._used))
         sizes = self._sizes[flat]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         ids = self._ids[np.arange(ends[-1]) + np.repeat(self._starts[flat] - ends[:-1], sizes)]
@@ -100,6 +113,7 @@ class Encoder:
         self._ids = np.concatenate([self._ids, *[ids for ids, _ in parts]])
         self._starts = np.concatenate([self._starts, new[0]])
         self._sizes = np.concatenate([self._sizes, new[1]])
+        self._used = np.concatenate([self._used, np.zeros(len(pieces), dtype=np.int64)])
 
     def _one_by_one(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all the pieces, and how many each has."""
