@@ -66,6 +66,16 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(hadoop, True)
 
 
+def folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the outermost partition column of a table, from one listing of its folder; values
+    that need no escape."""
+    files, hadoop = _files(spark, path)
+    if not files.exists(hadoop):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(hadoop)]
+    return [name.removeprefix(f"{column}=") for name in names if name.startswith(f"{column}=")]
+
+
 def recover(spark: SparkSession, path: str) -> None:
     """End a swap that was cut short: the table at ``path`` is then the new one if it was whole, and
     else the old one, and nothing else of it is left. For tables that nobody else is writing."""
@@ -86,13 +96,13 @@ def recover(spark: SparkSession, path: str) -> None:
         files.delete(path_of(rest), True)
 
 
-def write_then_swap(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def write_then_swap(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Put ``df`` in place of the table at ``path``, which stays as it is until the new one is
     whole; ``df`` may read it. A process that ends between the two renames leaves no table there
     until ``recover`` puts one back."""
     spark = df.sparkSession
     new, old = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     files, hadoop = _files(spark, path)
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     try:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import alerts, baseline, health
 from plumbline.operators.latest import of_latest_run
-from plumbline.session import materialize
+from plumbline.session import materialize, shared_folder
+from plumbline.sources import history
 from workload import star
 from workload.registry import query
 from workload.sql import over
@@ -107,15 +110,41 @@ def anomaly_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def anomaly_against_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last day as this run, against the recorded days before it."""
-    history = materialize(anomaly_history(spark, sf_dir), "anomalies")
-    today = of_latest_run(history).select(
+    scored = materialize(anomaly_history(spark, sf_dir), "anomalies")
+    today = of_latest_run(scored).select(
         "run_id", "run_at", "check_name", "table_name", "column_name", "kind", "observed_value"
     )
-    latest = history.select(F.max("run_at")).scalar()
-    recorded = history.where(F.col("run_at") < latest)
+    latest = scored.select(F.max("run_at")).scalar()
+    recorded = scored.where(F.col("run_at") < latest)
     return _shown(baseline.scored(baseline.with_recorded_baseline(today, recorded)))
 
 
+@query(
+    "anomaly_against_newest_days",
+    over(
+        "anomaly_history",
+        select=f"""
+        SELECT {_RESULT} FROM anomaly_history
+        WHERE run_at = (SELECT max(run_at) FROM anomaly_history)
+        """,
+    ),
+)
+def anomaly_against_newest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last day as this run, against a log in day partitions: days older than the baseline's
+    are not opened."""
+    scored = materialize(anomaly_history(spark, sf_dir), "anomalies")
+    latest = scored.select(F.max("run_at")).scalar()
+    log = f"{shared_folder(spark)}/anomaly-log-{uuid.uuid4().hex}"
+    history.append_anomalies(scored.where(F.col("run_at") < latest), log, repeated=False)
+    past = history.recent_anomalies(
+        spark, log, [m.check_name for m in METRICS], baseline.WINDOW_RUNS, before=latest
+    )
+    today = scored.where(F.col("run_at") == latest).select(
+        "run_id", "run_at", "check_name", "table_name", "column_name", "kind", "observed_value"
+    )
+    return _shown(baseline.scored(baseline.with_recorded_baseline(today, past)))
+
+
 @query(
     "anomaly_latest",
     over(
@@ -128,8 +157,8 @@ def anomaly_against_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def anomaly_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Non-passing checks of the latest run; the history is taken up to the last complaint."""
-    history = anomaly_history(spark, sf_dir)
-    return _shown(of_latest_run(alerts.non_passing_anomalies(history)))
+    scored = anomaly_history(spark, sf_dir)
+    return _shown(of_latest_run(alerts.non_passing_anomalies(scored)))
 
 
 @query(
