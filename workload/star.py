@@ -91,33 +91,40 @@ _PRODUCT_ATTRIBUTES = {
 }
 
 
-def _attributes(df: DataFrame, key: str, attributes: dict[str, tuple[str, str]]) -> DataFrame:
-    """Key and attributes, computed once per customer or part and not once per line."""
-    return df.select(
-        key, *[F.expr(text).cast(kind).alias(name) for name, (text, kind) in attributes.items()]
-    )
+def _attributes(attributes: dict[str, tuple[str, str]]) -> dict[str, Column]:
+    """From the columns of the tables; null where a line has no customer or part."""
+    return {name: F.expr(text).cast(kind) for name, (text, kind) in attributes.items()}
 
 
 def _absent(attributes: dict[str, tuple[str, str]]) -> dict[str, Column]:
     return {name: F.lit(None).cast(kind) for name, (_, kind) in attributes.items()}
 
 
-def customer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with their nation, as far as the attributes are made from them."""
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
     )
     customers = table(spark, sf_dir, "customer").join(
         nations, F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
-    return _attributes(customers, "c_custkey", _CUSTOMER_ATTRIBUTES)
+    return customers.select("c_custkey", "c_name", "c_mktsegment", "n_nationkey", "n_name", "r_name")
+
+
+def customer_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _customers(spark, sf_dir).withColumns(_attributes(_CUSTOMER_ATTRIBUTES)).select(
+        "c_custkey", *_CUSTOMER_ATTRIBUTES
+    )
 
 
 def product_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _attributes(table(spark, sf_dir, "part"), "p_partkey", _PRODUCT_ATTRIBUTES)
+    return table(spark, sf_dir, "part").withColumns(_attributes(_PRODUCT_ATTRIBUTES)).select(
+        "p_partkey", *_PRODUCT_ATTRIBUTES
+    )
 
 
 def _orders(spark: SparkSession, sf_dir: str, with_customers: bool) -> DataFrame:
-    """Orders, with their customer's attributes where asked: joined before the lines are."""
+    """Orders, with their customer where asked: joined before the lines are."""
     priority = F.col("o_orderpriority")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
@@ -137,10 +144,8 @@ def _orders(spark: SparkSession, sf_dir: str, with_customers: bool) -> DataFrame
         .alias("days_shipping_scheduled"),
     )
     if not with_customers:
-        return orders.withColumns(_absent(_CUSTOMER_ATTRIBUTES))
-    return orders.join(
-        customer_attributes(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "left"
-    )
+        return orders
+    return orders.join(_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "left")
 
 
 def _decimal(value: Column, precision: int, scale: int) -> Column:
@@ -158,20 +163,27 @@ def staging(
     """The staging columns, and ``supplier_id`` to tell lines apart.
 
     ``unique`` keeps one line per (order, item). Lines of an order share its date, so the columns
-    of the line decide.
+    of the line decide. Attributes are made after the joins, of which each would shuffle them with
+    every line: the few columns that they are made from are much narrower.
     """
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = table(spark, sf_dir, "lineitem")
+    parts = table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"), "left"
+    # The part adds less to a line than order and customer do, so it is joined first; but a line
+    # that is dropped needs none.
+    if products and not unique:
+        lines = lines.join(*parts)
+    lines = lines.join(
         _orders(spark, sf_dir, customers), F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
     if unique:
         # The join has left the lines of an order together: no shuffle of their own.
         lines = first_per_key(lines, ["l_orderkey", "l_linenumber"], _LINE_COLUMNS)
-    if products:
-        lines = lines.join(
-            product_attributes(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey"), "left"
-        )
-    else:
-        lines = lines.withColumns(_absent(_PRODUCT_ATTRIBUTES))
+        if products:
+            lines = lines.join(*parts)
+    attributes = {
+        **(_attributes if customers else _absent)(_CUSTOMER_ATTRIBUTES),
+        **(_attributes if products else _absent)(_PRODUCT_ATTRIBUTES),
+    }
 
     gap = F.datediff("l_shipdate", "o_orderdate")
     priced = lines.withColumns(
@@ -192,7 +204,7 @@ def staging(
     )
     real, scheduled = F.col("days_shipping_real"), F.col("days_shipping_scheduled")
     late, canceled = real > scheduled, F.col("canceled")
-    derived = {
+    derived = attributes | {
         "order_id": F.col("l_orderkey"),
         "order_customer_id": F.col("o_custkey"),
         "order_item_id": F.col("l_linenumber").cast("bigint"),
