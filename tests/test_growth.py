@@ -1,9 +1,12 @@
 """What keeps shuffles, deliveries and profiles small as the tables grow."""
 
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401
-from workload import star
+from workload import registry, runs, star
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -48,3 +51,16 @@ def test_lines_without_customer_or_part_have_no_attributes(spark, tmp_path):
         (2, None, None, None, "Standard Class", None, None),
         (3, None, None, None, None, 576, "hot bolt"),
     ]
+
+
+def test_deliveries_are_compressed(spark, tmp_path):
+    path = runs._deliver(spark.range(3).select(F.col("id").cast("string")), f"{tmp_path}/delivered")
+    parts = [name for name in os.listdir(path) if name.startswith("part-")]
+    assert parts and all(name.endswith(".csv.gz") for name in parts)
+
+
+def test_loaded_deliveries_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runs, "shared_folder", lambda spark: str(tmp_path))
+    registry.QUERIES["csv_snapshot"](spark, SF_DIR).count()
+    left = [name.split("-")[0] for name in os.listdir(tmp_path)]
+    assert left == ["raw"]
