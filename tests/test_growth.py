@@ -53,6 +53,10 @@ def test_lines_without_customer_or_part_have_no_attributes(spark, tmp_path):
     ]
 
 
+def test_a_build_is_dealt_out_to_as_many_tasks_as_the_session_has(spark):
+    assert "REPARTITION_BY_NUM" not in _plan(registry.QUERIES["repeated_build"](spark, SF_DIR))
+
+
 def test_deliveries_are_compressed(spark, tmp_path):
     path = runs._deliver(spark.range(3).select(F.col("id").cast("string")), f"{tmp_path}/delivered")
     parts = [name for name in os.listdir(path) if name.startswith("part-")]
