@@ -1,11 +1,13 @@
 """What keeps shuffles, deliveries and profiles small as the tables grow."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401
+from plumbline.operators import profile
 from workload import registry, runs, star
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -68,3 +70,22 @@ def test_loaded_deliveries_are_removed(spark, tmp_path, monkeypatch):
     registry.QUERIES["csv_snapshot"](spark, SF_DIR).count()
     left = [name.split("-")[0] for name in os.listdir(tmp_path)]
     assert left == ["raw"]
+
+
+def test_values_are_counted_without_a_copy_of_the_row_each(spark):
+    texts = spark.createDataFrame([("1", None)], "a string, b string")
+    assert not re.search(r"\bExpand\b", _plan(profile.column_counts(texts)))
+
+
+def test_the_kind_of_odd_texts(spark):
+    kinds = {
+        "0": "BITS", " 1 ": "BITS", "\t1": "WHOLE", "12": "WHOLE", "1" * 19: "WHOLE", "900.00": "WHOLE",
+        "1.5": "FRACTION", "-.5": "FRACTION", "900.10": "FRACTION", "1.5\n": "FRACTION", "1e-3": "FRACTION",
+        "123456789012.00000000001": "WHOLE", "-inf": "FRACTION", "1e999": "TEXT", "1.5x": "TEXT",
+        "2020-02-30": "TEXT", "2020/02/29": "DATE", "13/1/2020": "DATE", " 1/2/2020 3:04": "DATE",
+        "13/13/2020": "TEXT", "1/2": "TEXT", "t/f": "TEXT", "2020-02-29T10:00Z": "DATE", "Yes": "BOOLEANS",
+        "": "TEXT", "\x0b7": "WHOLE", "\xa07": "TEXT", "tool": "TEXT", "+": "TEXT", ".": "TEXT", "1.": "WHOLE",
+    }
+    rows = spark.createDataFrame([(text,) for text in kinds], "value string")
+    found = dict(rows.select("value", profile.value_kind(F.col("value"))).collect())
+    assert found == {text: getattr(profile, f"_{kind}") for text, kind in kinds.items()}
