@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401
 from plumbline.operators import profile
-from workload import registry, runs, star
+from workload import checking, registry, runs, star
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -89,3 +89,23 @@ def test_the_kind_of_odd_texts(spark):
     rows = spark.createDataFrame([(text,) for text in kinds], "value string")
     found = dict(rows.select("value", profile.value_kind(F.col("value"))).collect())
     assert found == {text: getattr(profile, f"_{kind}") for text, kind in kinds.items()}
+
+
+def test_a_task_of_the_checks_reads_the_same_however_large_the_models_are(spark, tmp_path):
+    settings = {
+        "spark.sql.files.maxPartitionBytes": "128MB",
+        "spark.sql.files.minPartitionNum": "1",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
+    }
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        checking.star_tables(spark, SF_DIR)
+        # Each file counts as 4 MB at least.
+        spark.range(0, 24, 1, 24).write.parquet(f"{tmp_path}/files")
+        read = spark.read.parquet(f"{tmp_path}/files").select(F.spark_partition_id())
+        assert read.distinct().count() > 2
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "200"
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
