@@ -1,5 +1,6 @@
 """What keeps shuffles, deliveries and profiles small as the tables grow."""
 
+import datetime as dt
 import os
 import re
 
@@ -55,6 +56,44 @@ def test_lines_without_customer_or_part_have_no_attributes(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("name", ["column_profile"])
+def test_profiled_lines_are_not_shuffled_with_order_and_part_together(spark, no_broadcast, name):
+    lines = _plan(registry.QUERIES[name](spark, SF_DIR)).splitlines()
+    assert any("p_name#" in line for line in lines) and any("o_orderstatus#" in line for line in lines)
+    assert not any("p_name#" in line and "o_orderstatus#" in line for line in lines)
+
+
+@pytest.mark.parametrize("repeated", [None, "orders", "customer", "part", "nation", "region"])
+def test_the_parts_of_a_delivery_are_profiled_as_the_whole(spark, tmp_path, repeated):
+    """Lines with unknown and null keys; rows that come twice, and so do the lines that meet them."""
+
+    def store(name, rows):
+        rows = rows + rows[:1] * (name == repeated)
+        spark.createDataFrame(rows, star._SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    day = dt.datetime(2020, 1, 5)
+    line = (1, 3.0, 10.5, 0.1, 0.04, "N", "O", day)
+    keys = [(1, 1, 1), (1, 2, 2), (2, 1, 3), (3, 9, 7), (9, 1, 2), (None, None, 1), (4, None, None)]
+    store("lineitem", [(order, part, 1, item, *line[1:]) for order, part, item in keys])
+    customers = [1, 2, 9, None]
+    store("orders", [(k + 1, c, "OFPO"[k], 1.0, day if k else None, "1-URGENT") for k, c in enumerate(customers)] + [(None, 1, "O", 1.0, day, "5-LOW")] * 2)
+    store("customer", [(1, "Customer#1", 0, 1.0, "AUTO"), (2, "Customer#2", None, 1.0, None), (None, "x", 0, 1.0, "AUTO")])
+    store("part", [(1, "hot bolt", "Brand#7", "LARGE", 1, 2.5), (2, None, "Brand#8", None, 1, None)])
+    store("nation", [(0, "PERU", 1), (1, "CHAD", 1)])
+    store("region", [(1, "ASIA")])
+    whole = star.raw(spark, str(tmp_path)).drop("supplier_id")
+    parts = star.raw_parts(spark, str(tmp_path))
+    assert len(parts) == (1 if repeated else 3)
+    assert sorted(c for part in parts for c in part.columns) == sorted(whole.columns)
+    if repeated not in (None, "part"):
+        return
+    for change in (lambda df: df, star.with_faults):
+        columns = [c for c in change(whole).columns if c != "Carrier Note"]
+        expected = profile.column_profile(change(whole), columns).collect()
+        found = profile.column_profile_of_parts([change(part) for part in parts], columns).collect()
+        assert sorted(found) == sorted(expected) and len(found) == len(columns)
+
+
 def test_a_build_is_dealt_out_to_as_many_tasks_as_the_session_has(spark):
     assert "REPARTITION_BY_NUM" not in _plan(registry.QUERIES["repeated_build"](spark, SF_DIR))
 
