@@ -327,6 +327,59 @@ def test_chains_and_alignments_against_brute_force():
         assert passages.common_words(a, b) == common(a, b)
 
 
+def test_spans_are_aligned_at_once_as_one_by_one(monkeypatch):
+    monkeypatch.setattr(passages, "MIN_WORDS", 12)
+    monkeypatch.setattr(passages, "REACH", 5)
+    share, common = passages.MIN_IDENTITY, passages.common_words
+
+    def plain(x, y, a, b, c, d):
+        while a > 0 and c > 0 and x[a - 1] == y[c - 1]:
+            a, c = a - 1, c - 1
+        while b < len(x) and d < len(y) and x[b] == y[d]:
+            b, d = b + 1, d + 1
+        same, short = common(x[a:b], y[c:d]), min(b - a, d - c) < 12
+        reach = 12 if short else 5
+
+        def ways(own, other):
+            for i in range(len(own) + 1):
+                found = [common(own[:i], other[:j]) for j in range(len(other) + 1)]
+                j = max(range(len(found)), key=lambda j: (found[j] - share * max(i, j), j))
+                yield i, j, found[j], found[-1]
+
+        left = [*ways(x[max(a - reach, 0) : a][::-1], y[max(c - reach, 0) : c][::-1])]
+        right = [*ways(x[b : b + reach], y[d : d + reach])]
+        pairs = [(v, w, b - a + v[0] + w[0], d - c + v[1] + w[1]) for v in left for w in right]
+        if short and not any(m >= 12 and same + v[3] + w[3] >= share * m for v, w, m, _ in pairs):
+            return a, b, c, d, same
+        v, w = (max(side, key=lambda e: e[2] - share * max(e[:2])) for side in (left, right))
+        if min(b - a + v[0] + w[0], d - c + v[1] + w[1]) < 12:
+            shares = [(same + v[2] + w[2]) / max(m, n) if min(m, n) >= 12 else 0 for v, w, m, n in pairs]
+            if max(shares) >= share:
+                v, w = pairs[shares.index(max(shares))][:2]
+        a, b, c, d = a - v[0], b + w[0], c - v[1], d + w[1]
+        return a, b, c, d, common(x[a:b], y[c:d])
+
+    rng = np.random.RandomState(2)
+    words, sides, spans, expected = [], [], [], []
+    for _ in range(600):
+        x = rng.randint(0, rng.choice([3, 30, 1000]), rng.randint(4, 45)).tolist()
+        y = [rng.randint(0, 30) if rng.rand() < rng.choice([0.05, 0.2]) else word for word in x]
+        y[len(y) // 2 : len(y) // 2] = rng.randint(0, 30, rng.randint(0, 3)).tolist()
+        a = rng.randint(0, len(x) - 3)
+        b = rng.randint(a + 2, min(a + 20, len(x)) + 1)
+        at, other = len(words), len(words) + len(x)
+        words += x + y
+        sides.append([at, other, len(words)])
+        spans.append([at + a, at + b, other + a, other + b])
+        a, b, c, d, same = plain(x, y, a, b, a, b)
+        expected.append([at + a, at + b, other + c, other + d, same])
+    calls, ends, sides = [], passages.ends, np.array(sides)
+    monkeypatch.setattr(passages, "ends", lambda x, y: calls.append(len(x)) or ends(x, y))
+    found = passages.align(np.array(words, "<u2"), sides[:, :2], sides[:, 1:], np.array(spans))
+    assert found.tolist() == expected
+    assert len({row[1] - row[0] >= 12 for row in expected}) == 2 and len(calls) <= 10
+
+
 def test_every_shared_run_of_fifty_words_is_found(spark, documents, texts, edges, nothing):
     rows = passages.op3(spark, SF_DIR).collect()
     words = {k: re.findall(rb"[0-9a-z\x80-\xff]+", t.encode().lower()) for k, t in texts.items()}
