@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__
@@ -436,6 +437,61 @@ def test_edits_near_the_ends_of_short_passages(spark):
     assert len({(r.doc_id, r.start, r.other_id, r.other_start) for r in found}) == len(found)
 
 
+def test_only_spans_that_may_become_passages_are_aligned(monkeypatch):
+    """One seed in common among other words costs no alignment, and equal spans cost one."""
+    rng, words, sides, spans = np.random.RandomState(3), [], [], []
+    for k in range(300):
+        x, y = (rng.randint(0, 60_000, 120).tolist() for _ in range(2))
+        y[50:55] = x[50:55]
+        if k == 0:
+            y[50:90] = x[50:90]
+            y[96:120] = x[96:120]
+        at = len(words)
+        words += x + y
+        for first in (50, 60, 70) if k == 0 else (50,):
+            sides.append([at, at + 120, at + 240])
+            spans.append([at + first, at + first + 5, at + 120 + first, at + 125 + first])
+    aligned, ends, sides = [], passages.ends, np.array(sides)
+    monkeypatch.setattr(passages, "ends", lambda x, y: aligned.append(len(x)) or ends(x, y))
+    found = passages.align(np.array(words, "<u2"), sides[:, :2], sides[:, 1:], np.array(spans))
+    assert sum(aligned) == 2
+    assert found[:3].tolist() == [[50, 120, 170, 240, 64]] * 3
+    assert (found[3:, 1] - found[3:, 0] < 10).all()
+
+
+def test_windows_of_one_anchor_find_their_first_holder():
+    """Against a plain loop over the windows of random texts, with batches of a few rows."""
+    rng = np.random.RandomState(4)
+    pool = [rng.randint(0, 9, 70).tolist() for _ in range(4)]
+    texts = [sum((pool[k] for k in rng.randint(0, 4, 3)), []) for _ in range(12)]
+    rows, holders = [], defaultdict(list)
+    for doc, text in enumerate(texts):
+        for k in range(0, len(text), passages.BLOCK):
+            rows.append((doc, 0, k // passages.BLOCK, np.array(text[k : k + passages.BLOCK], "<u2").tobytes()))
+        rows += [(doc, 1, k, None) for k in range(0, len(text) - 5, 7)]
+        for k in range(len(text) - passages.MIN_WORDS + 1):
+            holders[tuple(text[k : k + passages.MIN_WORDS])].append((doc, k))
+
+    def batches(rows, kinds, names):
+        arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        whole = pa.RecordBatch.from_arrays(arrays, names=names)
+        return [whole[k : k + 5] for k in range(0, whole.num_rows, 5)]
+
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    stretches = [
+        row.values()
+        for batch in passages._document_windows(batches(rows, kinds, ["doc", "kind", "at", "words"]))
+        for row in batch.to_pylist()
+    ]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    stretches = sorted(map(tuple, stretches), key=lambda row: row[:3])
+    found = set()
+    for batch in passages._held_windows(batches(stretches, kinds, ["anchor", "doc", "place", "hashes"])):
+        for row in batch.to_pylist():
+            found |= {(row["doc"], row["place"] + k, row["other"], row["other_place"] + k) for k in range(row["n"])}
+    assert found == {(*own, *held[0]) for held in holders.values() for own in held if own[0] != held[0][0]}
+
+
 def test_tables_that_nothing_reads_any_more_are_deleted(spark, monkeypatch):
     rows = [(k, " ".join([*made_up(20, 1000 * k), *made_up(60, 9_000_000)])) for k in range(4)]
     stored = {}
