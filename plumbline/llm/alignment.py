@@ -20,17 +20,20 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.registry import query, table
-from plumbline.llm.text import chunks, kept
+from plumbline.llm.text import chunks, joined, kept
 from plumbline.session import materialize
 
 # Pieces of text that a worker remembers, and how many are encoded as one text.
 CACHED_PIECES = 600_000
 JOINED_PIECES = 200
+# Text that is aligned at once.
+READ_BYTES = 1 << 20
 
 BLANK = "▁"  # how the second vocabulary writes a blank
 # Stands before joined pieces, so that each of them, the first too, has a character before it.
@@ -293,7 +296,9 @@ def _chunk(aligner: Aligner, texts: list[bytes], with_groups: bool) -> dict[str,
     }
 
 
-_KINDS = {
+# What is known of a document by itself: numbers and texts, and the pairs of its chunk that it holds,
+# as their places there and how often it holds each, in 32 bits each.
+_SHOWN = {
     "doc_id": pa.int64(),
     "n_a": pa.int64(),
     "n_b": pa.int64(),
@@ -301,33 +306,52 @@ _KINDS = {
     "n_links": pa.int64(),
     "groups_sha256": pa.string(),
     "groups": pa.string(),
-    "pair": pa.int64(),
-    "held": pa.int64(),
-    "bounds": pa.int32(),
-    "link": pa.int32(),
-    "times": pa.int32(),
 }
-_SQL_KINDS = {pa.int64(): "bigint", pa.int32(): "int", pa.string(): "string"}
+_HELD = {"link": pa.binary(), "times": pa.binary()}
+# And of a pair of a chunk: its place, its ids and how many of the chunk's documents hold it.
+_PAIR = {"place": pa.int32(), "pair": pa.int64(), "held": pa.int64()}
+_KINDS = {"chunk": pa.int64(), **_SHOWN, **_HELD, **_PAIR}
+_SQL_KINDS = {pa.int64(): "bigint", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary"}
+
+
+def _parts(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The numbers between bounds, in 32 bits each, as bytes."""
+    offsets = (4 * bounds).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values.astype("<i4"))]
+    )
 
 
 def aligned_chunks(documents: DataFrame, first: str, second: str, with_groups: bool) -> DataFrame:
-    """One row for some megabytes of documents: ``chunk``, arrays with an entry per document, the
-    distinct pairs of ids that are linked in it with the number of its documents that hold them,
-    and for each document which of these pairs it holds how often."""
-    schema = pa.schema([("chunk", pa.int64()), *[(n, pa.list_(kind)) for n, kind in _KINDS.items()]])
+    """Rows of chunks, some text that is aligned at once: one row for each document, with what it
+    holds of its chunk's pairs of ids, and one for each of these pairs, where ``pair`` is not null.
+
+    A row is no longer than its document, so what holds many rows at once, as a writer of files and
+    their reader do, holds no chunks.
+    """
+    schema = pa.schema(list(_KINDS.items()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = kept(f"alignment of {first} and {second}", lambda: Aligner(first, second))
         number = TaskContext.get().partitionId() << 33
+
+        def rows(n: int, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+            columns = {"chunk": pa.array(np.full(n, number)), **columns}
+            arrays = [columns[name] if name in columns else pa.nulls(n, kind) for name, kind in _KINDS.items()]
+            return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
         for batch in batches:  # a batch bounds the rows, a chunk the bytes
-            for keys, texts in chunks([batch]):
+            for keys, texts in chunks([batch], READ_BYTES):
                 found = {"doc_id": keys, **_chunk(aligner, texts, with_groups)}
-                arrays = [pa.array([found[name]], pa.list_(kind)) for name, kind in _KINDS.items()]
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *arrays], schema=schema)
+                own = {name: pa.array(found[name], kind) for name, kind in _SHOWN.items()}
+                held = {name: _parts(found[name], found["bounds"]) for name in _HELD}
+                yield rows(len(keys), own | held)
+                pairs = {"place": np.arange(len(found["pair"])), "pair": found["pair"], "held": found["held"]}
+                yield rows(len(found["pair"]), {name: pa.array(pairs[name], kind) for name, kind in _PAIR.items()})
                 number += 1
 
-    fields = ", ".join(f"{name} array<{_SQL_KINDS[kind]}>" for name, kind in _KINDS.items())
-    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, f"chunk bigint, {fields}")
+    fields = ", ".join(f"{name} {_SQL_KINDS[kind]}" for name, kind in _KINDS.items())
+    return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, fields)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -336,8 +360,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
 
     An id has no more partners than the second vocabulary has tokens, which bounds the window.
     """
-    pairs = aligned.select(F.inline(F.arrays_zip("pair", "held")))
-    counted = pairs.groupBy("pair").agg(F.sum("held").alias("documents"))
+    counted = aligned.filter("pair is not null").groupBy("pair").agg(F.sum("held").alias("documents"))
     own = Window.partitionBy("a_id")
     return counted.select(
         F.shiftright("pair", 32).alias("a_id"),
@@ -351,26 +374,26 @@ def _with_counts(aligned: DataFrame, with_groups: bool) -> DataFrame:
     counts = pair_counts(aligned).select(
         (F.shiftleft("a_id", 32) + F.col("b_id")).alias("pair"), "documents", "best"
     )
-    pairs = aligned.select("chunk", F.posexplode("pair").alias("place", "pair"))
+    pairs = aligned.filter("pair is not null").select("chunk", "place", "pair")
     known = pairs.join(counts, "pair").select("chunk", "place", "documents", "best")
-    shown = [name for name in _KINDS if name not in ("pair", "held", "bounds", "link", "times")]
-    if not with_groups:
-        shown.remove("groups")
-    fields = [*[(name, _KINDS[name]) for name in shown], ("n_best", pa.int64()), ("count_sum", pa.int64())]
+    shown = [name for name in _SHOWN if with_groups or name != "groups"]
+    fields = [*[(name, _SHOWN[name]) for name in shown], ("n_best", pa.int64()), ("count_sum", pa.int64())]
     schema = pa.schema(fields)
 
     def summed(chunk: pa.Table, known: pa.Table) -> pa.Table:
-        row = {name: chunk.column(name).combine_chunks().flatten() for name in chunk.column_names if name != "chunk"}
-        bounds, link, times = (row[name].to_numpy() for name in ("bounds", "link", "times"))
+        link, times = (chunk.column(name).combine_chunks() for name in _HELD)
+        bounds = np.concatenate([[0], np.cumsum(np.array(pc.binary_length(link), np.int64) // 4)])
+        link, times = (np.frombuffer(joined(side), "<i4") for side in (link, times))
         values = np.zeros((2, known.num_rows), dtype=np.int64)
         place = known.column("place").to_numpy()
         values[0, place] = known.column("best").to_numpy()
         values[1, place] = known.column("documents").to_numpy()
         sums = [pa.array(_sums(side[link] * times, bounds)) for side in values]
-        return pa.Table.from_arrays([*[row[name] for name in shown], *sums], schema=schema)
+        columns = [chunk.column(name).combine_chunks() for name in shown]
+        return pa.Table.from_arrays([*columns, *sums], schema=schema)
 
     sides = (
-        aligned.select("chunk", *shown, "bounds", "link", "times").groupBy("chunk"),
+        aligned.filter("pair is null").select("chunk", *shown, *_HELD).groupBy("chunk"),
         known.withColumnRenamed("chunk", "of_chunk").groupBy("of_chunk"),
     )
     return sides[0].cogroup(sides[1]).applyInArrow(
@@ -389,7 +412,7 @@ def align(documents: DataFrame, first: str, second: str, with_groups: bool = Fal
     adds that text as ``groups``.
 
     Texts are encoded and aligned once, in their tasks, and written with their pairs. These are
-    counted in each chunk of some megabytes before the shuffle, and the counts come back to the
+    counted in each chunk of a megabyte before the shuffle, and the counts come back to the
     chunk and not to each document. Memory follows the chunk, or the longest text.
 
     Null and empty texts, and those whose tokens on either side do not give the blank and the text

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.llm import alignment
 
@@ -142,3 +143,14 @@ def test_edges(edges, nothing):
     twice = [r for r in rows if r.doc_id == 7]
     assert len(twice) == 2 and twice[0] == twice[1]
     assert alignment.align(nothing, *alignment.tokenizer_paths()).count() == 0
+
+
+def test_no_row_holds_more_than_a_document_or_a_pair(spark, documents):
+    """Writers and readers of files hold many rows at once, so these may not be chunks."""
+    rows = alignment.aligned_chunks(documents, *alignment.tokenizer_paths(), False)
+    fields = [f for f in rows.schema.fields if f.dataType.typeName() in ("array", "binary")]
+    sizes = [F.coalesce(F.octet_length(f.name) if f.dataType.typeName() == "binary" else F.size(f.name), F.lit(0)) for f in fields]
+    most = documents.agg(F.max(F.octet_length("text"))).first()[0]
+    found = rows.select((sum(sizes)).alias("size")).agg(F.max("size"), F.count(F.lit(1))).first()
+    assert found[0] <= 2 * 4 * 2 * most
+    assert found[1] > documents.count()
