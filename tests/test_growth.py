@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401
 from plumbline.operators import profile
+from plumbline.sources import snapshots
 from workload import checking, registry, runs, star
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -98,6 +99,25 @@ def test_a_build_is_dealt_out_to_as_many_tasks_as_the_session_has(spark):
     assert "REPARTITION_BY_NUM" not in _plan(registry.QUERIES["repeated_build"](spark, SF_DIR))
 
 
+def test_lines_are_dealt_out_before_their_attributes_are_made(spark, no_broadcast):
+    above = _plan(registry.QUERIES["repeated_build"](spark, SF_DIR)).split("REPARTITION_BY_COL", 1)
+    assert "hashpartitioning(l_suppkey#" in above[0][-400:]
+    dealt = star.staging(spark, SF_DIR, customers=True, products=True, dealt=True)
+    assert "market#" not in _plan(dealt).split("REPARTITION_BY_COL", 1)[1]
+
+
+def test_places_of_rows_cost_no_copy_of_the_row(spark, tmp_path):
+    """Columns of ``_metadata`` are added to each row, which copies it."""
+    (tmp_path / "a b.csv").write_text("a,b\n1,2\n3\n")
+    text = snapshots.read_snapshot(spark, str(tmp_path), keep_malformed=True)
+    placed = snapshots.with_place(text)
+    assert "_metadata" not in _plan(placed) and "file_path" not in _plan(placed)
+    stored = spark.createDataFrame(placed.toArrow())
+    (found,) = snapshots.rejects(stored, 2).collect()
+    expected = spark.read.text(str(tmp_path)).select("_metadata.file_path").first()[0]
+    assert (found.file, found.record, found.text) == (expected, 2, "3")
+
+
 def test_deliveries_are_compressed(spark, tmp_path):
     path = runs._deliver(spark.range(3).select(F.col("id").cast("string")), f"{tmp_path}/delivered")
     parts = [name for name in os.listdir(path) if name.startswith("part-")]
@@ -130,6 +150,20 @@ def test_the_kind_of_odd_texts(spark):
     assert found == {text: getattr(profile, f"_{kind}") for text, kind in kinds.items()}
 
 
+def test_whole_numbers_and_words_need_few_patterns(spark):
+    kinds = {
+        "901.00": "WHOLE", "-0.0": "WHOLE", "9" * 300 + ".0": "WHOLE", "9" * 309 + ".0": "TEXT", "1..0": "TEXT",
+        "First Class": "TEXT", "F": "BOOLEANS", "no\t": "BOOLEANS", "Infinity ": "FRACTION", "Inform": "TEXT",
+    }
+    rows = spark.createDataFrame([(text,) for text in kinds], "value string")
+    kind = profile.value_kind(F.col("value"))
+    assert dict(rows.select("value", kind).collect()) == {text: getattr(profile, f"_{k}") for text, k in kinds.items()}
+    # A word is told before the patterns of numbers, and a whole number before it is parsed.
+    shown = rows.select(kind)._jdf.queryExecution().analyzed().toString()
+    assert shown.index(profile._WORD) < shown.index(profile._DIGITS)
+    assert shown.index(profile._PLAIN_WHOLE) < shown.index(profile._NUMBER)
+
+
 def test_a_task_of_the_checks_reads_the_same_however_large_the_models_are(spark, tmp_path):
     settings = {
         "spark.sql.files.maxPartitionBytes": "128MB",
